@@ -24,6 +24,8 @@ CELL_ROWS = 16_384
 CELL_QUERIES = 1_024
 #: Largest whole number whose product sums are taken in 64-bit integers.
 SAFE = 1 << 26
+#: Below every score; its negative is a 64-bit integer too.
+NONE = -(1 << 62)
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
@@ -62,7 +64,7 @@ def best_of_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int, block_rows:
     bounds = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
     order = np.argsort(-bounds, axis=1, kind="stable")
     n = len(q)
-    best_score = np.full((n, k), np.iinfo(np.int64).min)
+    best_score = np.full((n, k), NONE)
     best_id = np.full((n, k), np.iinfo(np.int64).max)
     live, scored = np.arange(n), 0
     for step in range(len(starts)):
@@ -77,14 +79,14 @@ def best_of_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int, block_rows:
             part = slice(starts[b], starts[b] + block_rows)
             score = q[who] @ m[part].T
             own = qid[who][:, None] == ids[part][None, :]
-            score[own] = np.iinfo(np.int64).min
+            score[own] = NONE
             every = np.concatenate([best_score[who], score], 1)
             names = np.concatenate([best_id[who], np.broadcast_to(ids[part], score.shape)], 1)
-            names = np.where(every == np.iinfo(np.int64).min, np.iinfo(np.int64).max, names)
+            names = np.where(every == NONE, np.iinfo(np.int64).max, names)
             first = np.lexsort((names, -every), axis=1)[:, :k]
             best_score[who] = np.take_along_axis(every, first, 1)
             best_id[who] = np.take_along_axis(names, first, 1)
-    found = best_score > np.iinfo(np.int64).min
+    found = best_score > NONE
     return pd.DataFrame({"query_id": np.repeat(qid, k)[found.ravel()], "vec_id": best_id[found], "score": best_score[found]}), scored
 
 
