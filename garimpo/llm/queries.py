@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.llm import exact_dedup, mixing, packing, topk
+from garimpo.llm import exact_dedup, langid, mixing, packing, pii, quality, topk
 from garimpo.llm.common import read
 
 
@@ -14,6 +14,10 @@ def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
@@ -22,12 +26,31 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(read(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op2_weighted_mix,
+    op3_importance_resampling,
+    op4_exact_topk,
+    op5_best_fit_packing,
+    op6_weak_supervision_pii,
+    op8_exact_dedup,
+    op9_crf_language_id,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_weighted_mix, op4_exact_topk, op5_best_fit_packing, op8_exact_dedup)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
