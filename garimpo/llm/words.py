@@ -36,7 +36,7 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     if not n:
         return hashes
     k = min(k, n)
-    out = mixed(hashes[: n - k + 1] + np.uint64(k) * _MIX)
+    out = mixed(hashes[: n - k + 1] + np.uint64(k * int(_MIX) % 2**64))
     for i in range(1, k):
         out = mixed(out * np.uint64(3) + hashes[i : n - k + 1 + i])
     return out
