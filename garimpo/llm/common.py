@@ -49,3 +49,15 @@ def partitions(spark: SparkSession) -> int:
 def n_words(text) -> F.Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null counts as empty."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
+#: Rows of identifiers up to which they are broadcast; beyond, texts are shuffled to them.
+FEW_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, dropped: DataFrame, on: dict[str, F.Column]) -> DataFrame:
+    """``docs`` without the rows that ``dropped`` names; ``on``: its columns and what equals them, null included."""
+    dropped = stored(dropped.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct())
+    few = F.broadcast(dropped) if dropped.count() <= FEW_ROWS else dropped
+    same = [value.eqNullSafe(F.col(f"_{c}")) for c, value in on.items()]
+    return docs.join(few, same, "left_anti")

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from garimpo.llm.common import without
+
 BUCKETS = 1 << 15
 #: Labelled rows of each language that the model is fitted on.
 FIT_ROWS = 160
@@ -272,3 +274,12 @@ def language_id(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     rows = sample(docs.filter(~held_out(F.col("doc_id"))), fit_rows)
     found = identify(docs, train(rows))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_switches")
+
+
+def keep_identified(docs: DataFrame, fit_rows: int = FIT_ROWS, least: float = 0.5) -> DataFrame:
+    """The rows whose language is told: not ``und``, and a mean marginal of ``least`` or more."""
+    h = F.xxhash64("text")
+    model = train(sample(docs.filter(~held_out(F.col("doc_id"))), fit_rows))
+    found = identify(docs.withColumn("_h", h), model, keep=("_h",))
+    gone = found.filter((F.col("lang_pred") == UND) | (F.col("score") < least)).withColumnRenamed("_h", "h")
+    return without(docs, gone, {"doc_id": F.col("doc_id"), "h": h})

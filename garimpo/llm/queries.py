@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.llm import exact_dedup, langid, mixing, packing, pii, quality, topk
+from garimpo.llm import exact_dedup, jaccard_join, langid, licenses, mixing, packing, pii, quality, repeats, topk
 from garimpo.llm.common import read
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(read(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op2_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,6 +34,10 @@ def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(read(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
@@ -38,14 +46,21 @@ def op9_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
+    op1_ngram_jaccard_join,
     op2_weighted_mix,
     op3_importance_resampling,
     op4_exact_topk,
     op5_best_fit_packing,
     op6_weak_supervision_pii,
+    op7_license_scan,
     op8_exact_dedup,
     op9_crf_language_id,
+    op10_suffix_array_dedup,
 )
 
 
@@ -57,6 +72,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_weighted_mix": mixing.ORACLE,
         "op4_exact_topk": topk.ORACLE,
+        "op7_license_scan": licenses.oracle(),
         "op8_exact_dedup": r"""
             WITH n AS (
               SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)

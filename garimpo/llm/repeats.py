@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import partitions, stored
+from garimpo.llm.common import FEW_ROWS, partitions, stored
 from garimpo.llm.suffixes import maximal_repeats
 from garimpo.llm.words import mixed
 
@@ -39,8 +39,6 @@ GRAM = 18
 CHUNK = 2 << 20
 #: Records of one hash from which its stretches are split by a second hash.
 HOT = 5_000
-#: Rows up to which identifiers are broadcast to pick texts; beyond, texts are shuffled.
-FEW_ROWS = 1_000_000
 _BASE = 0x100000001B3
 _SALT = np.uint64(0x9FB21C651E98DF25)
 NO_ID = (1 << 63) - 1
