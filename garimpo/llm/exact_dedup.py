@@ -1,9 +1,9 @@
 """Exact duplicates by sorting the content.
 
-The normalised text itself is the sort key.  ``repartitionByRange`` samples it for
-splitters and deals every text to one range; inside a range Spark's external sort puts
-equal texts next to each other; the ordered window then compares each text in full with
-its neighbour and keeps the smallest identifier of every run.
+The normalised text itself is the sort key.  ``repartitionByRange`` samples the starts of
+the texts for splitters and deals every text to one range; inside a range Spark's external
+sort puts equal texts next to each other; the ordered window then compares each text in
+full with its neighbour and keeps the smallest identifier of every run.
 
 A text with very many copies would fill one range.  A first pass counts copies by a
 64-bit hash (combined on the map side); texts with more rows or bytes than a quarter of a
@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import SPACE, partitions
+from garimpo.llm.common import SPACE, partitions, stored, without
 
 #: Most runs that one hot text is split into.
 MAX_SALTS = 4096
+#: Characters of a text that the sampled splitters hold.
+SPLITTER_CHARS = 64
 
 
 def normalised(text) -> F.Column:
@@ -64,9 +66,11 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
             F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("salts")))
             .otherwise(F.lit(0)).alias("salt"),
         )
-        .repartitionByRange(n, "norm", "salt")
+        # The splitters need the start of the bytes and, where many texts share it, a hash.
+        .withColumns({"start": F.substring("norm", 1, SPLITTER_CHARS), "h": F.xxhash64("norm")})
+        .repartitionByRange(n, "start", "h", "salt")
     )
-    run = Window.partitionBy("norm", "salt").orderBy(F.col("doc_id").asc_nulls_last())
+    run = Window.partitionBy("start", "h", "norm", "salt").orderBy(F.col("doc_id").asc_nulls_last())
     runs = salted.select(
         "doc_id",
         "salts",
@@ -106,11 +110,13 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     A row stays when its identifier is the smallest of its text's group; of rows that
     repeat both, one stays.
     """
-    kept = exact_groups(docs, text, doc_id).filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")
-    )
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col(text)), 256))
-    on = marked[doc_id].eqNullSafe(kept["_keep_id"]) & (marked["_sha"] == kept["_keep_sha"])
+    groups = stored(exact_groups(docs, text, doc_id))
+    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    sha = F.sha2(normalised(F.col(text)), 256)
+    once = without(docs, gone, {"doc_id": F.col(doc_id), "text_sha256": sha})
+    # Only rows that repeat identifier and text are told apart row by row.
+    again = groups.filter(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
+    if not again.limit(1).count():
+        return once
     same = Window.partitionBy(doc_id, "_sha").orderBy(F.lit(1))
-    once = marked.join(kept, on, "left_semi").withColumn("_row", F.row_number().over(same))
-    return once.filter("_row = 1").select(*[docs[c] for c in docs.columns])
+    return once.withColumn("_sha", sha).withColumn("_row", F.row_number().over(same)).filter("_row = 1").select(*docs.columns)
