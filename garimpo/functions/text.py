@@ -49,10 +49,13 @@ def fold(s: Column) -> Column:
     return F.translate(F.lower(s), _ACCENTED, _PLAIN)
 
 
-@F.pandas_udf("string")
-def fold_exact(s: pd.Series) -> pd.Series:
-    """NFKD without anything outside ASCII, lower case."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode().lower())
+def fold_exact(s: Column) -> Column:
+    """NFKD without anything outside ASCII, lower case; over Arrow batches."""
+
+    def folded(x: pd.Series) -> pd.Series:
+        return x.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower())
+
+    return F.pandas_udf(folded, "string")(s)
 
 
 def portal_of_url(url: Column) -> Column:

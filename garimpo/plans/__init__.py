@@ -1,2 +1,2 @@
 """Registered queries over the driver's tables."""
-from garimpo.plans import linking, scalars, stats  # noqa: F401
+from garimpo.plans import flow, linking, scalars, stats  # noqa: F401
