@@ -40,6 +40,21 @@ def template_shingles(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
 
 
+def anchors(templates: dict[str, str], contained: float) -> list[str]:
+    """Words of which every text that holds enough of a template has one at least.
+
+    Longest words first, until the shingles without any of them are fewer than a match needs.
+    """
+    out: set[str] = set()
+    for t in templates.values():
+        shingles = template_shingles(t)
+        for word in sorted(set(t.split()), key=lambda w: (-len(w), w)):
+            if len([s for s in shingles if not out & set(s.split())]) < contained * len(shingles):
+                break
+            out.add(word)
+    return sorted(out)
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "[^a-z0-9]+"), lambda x: x != "")
 
@@ -78,7 +93,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, contained: floa
     known = sorted({s for _, s in table})
     w = F.col("w")
     # The one-element explode keeps the arrays from being computed again inside each lambda.
-    texts = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("w")).filter(F.size("w") > 1)
+    holds = F.lower(F.col("text").cast("string")).rlike("|".join(anchors(templates, contained)))
+    texts = docs.filter(holds).select("doc_id", F.explode(F.array(words(F.col("text")))).alias("w")).filter(F.size("w") > 1)
     pairs = texts.select("doc_id", F.explode(F.array(F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))).alias("sh"))
     hit = F.filter(F.transform("sh", lambda s, i: F.when(s.isin(known), F.floor(i / STRIDE).cast("int"))), lambda x: x.isNotNull())
     marked = pairs.select("doc_id", "sh", F.explode(F.array(F.array_distinct(hit))).alias("blocks")).filter(F.size("blocks") > 0)
