@@ -9,7 +9,8 @@ from garimpo.operators import stats as S
 from garimpo.plans.tables import table
 from garimpo.registry import query
 
-DAY = F.to_date("ts")
+def day():
+    return F.to_date("ts")
 
 
 def events(spark, sf_dir):
@@ -36,7 +37,7 @@ def stats_by_portal(spark, sf_dir):
 
 @query("stats_recent_dates", "SELECT ts::DATE::VARCHAR AS date, count(*) AS n FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 10")
 def stats_recent_dates(spark, sf_dir):
-    return S.recent_dates(events(spark, sf_dir), DAY).select(F.col("date").cast("string").alias("date"), "n")
+    return S.recent_dates(events(spark, sf_dir), day()).select(F.col("date").cast("string").alias("date"), "n")
 
 
 @query("stats_by_collect", "SELECT user_id, arg_min(event_type, event_id) AS portal, count(*) AS n, epoch_us(min(ts)) AS began FROM events WHERE user_id IS NOT NULL GROUP BY 1")
@@ -48,7 +49,7 @@ def stats_by_collect(spark, sf_dir):
        SELECT 'click' AS portal, (SELECT count(*) FROM o) AS total, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM d) AS dates, (SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM c) AS collections
        WHERE EXISTS (SELECT 1 FROM o)""")
 def portal_report(spark, sf_dir):
-    r = S.portal_report(events(spark, sf_dir), "event_type", "click", DAY, "user_id")
+    r = S.portal_report(events(spark, sf_dir), "event_type", "click", day(), "user_id")
     line = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["k"].cast("string"), F.lit("="), x["n"].cast("string"))), ",").alias(c)
     return r.select("portal", "total", line("dates"), line("collections"))
 
@@ -113,14 +114,14 @@ def paged(spark, sf_dir):
 
 @query("page_date_profile", f"SELECT page, bool_or(ts::DATE = DATE '2024-01-05') AS has_target, max(ts::DATE)::VARCHAR AS newest, min(ts::DATE)::VARCHAR AS oldest FROM {_PAGED} GROUP BY 1")
 def page_date_profile(spark, sf_dir):
-    r = P.page_profile(paged(spark, sf_dir), "page", DAY, "2024-01-05")
+    r = P.page_profile(paged(spark, sf_dir), "page", day(), "2024-01-05")
     return r.select("page", "has_target", F.col("newest").cast("string").alias("newest"), F.col("oldest").cast("string").alias("oldest"))
 
 
 @query("target_page_run", f"""WITH p AS (SELECT page, bool_or(ts::DATE = DATE '2024-01-05') AS hit FROM {_PAGED} GROUP BY 1), h AS (SELECT page, page - row_number() OVER (ORDER BY page) AS run FROM p WHERE hit)
        SELECT page FROM h WHERE run = (SELECT arg_min(run, page) FROM h)""")
 def target_page_run(spark, sf_dir):
-    return P.target_run(P.page_profile(paged(spark, sf_dir), "page", DAY, "2024-01-05"), "page").select("page")
+    return P.target_run(P.page_profile(paged(spark, sf_dir), "page", day(), "2024-01-05"), "page").select("page")
 
 
 @query("verify_split", """SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'noticia missing' WHEN page_id % 7 = 1 THEN 'titulo missing' END AS error,
@@ -211,5 +212,5 @@ def missing_days(spark, sf_dir):
     from garimpo.operators.requests import gaps
 
     e = events(spark, sf_dir)
-    have = e.filter("event_id % 50 <> 0").select(F.col("event_type").alias("portal"), DAY.alias("day"))
+    have = e.filter("event_id % 50 <> 0").select(F.col("event_type").alias("portal"), day().alias("day"))
     return gaps(e.select(F.col("event_type").alias("portal")).distinct(), have, "2023-12-25", "2024-02-10").select("portal", F.col("day").cast("string").alias("day"))
