@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from garimpo.functions.text import missing
 from garimpo.functions.trigram import similarity, similarity_of, trigrams
+from garimpo.sources.shared import small, stored
 
 #: Similarity that a name has to pass, and that tender numbers and modalities have to pass.
 NAME_LEAST, LINK_LEAST = 0.4, 0.5
@@ -58,10 +59,11 @@ def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST
     asked = names.select(F.trim("name").alias("name")).filter("name is not null and name <> ''").distinct()
     plain = asked.filter(~F.col("name").rlike("[%_\\\\]"))
     exact = plain.join(places, F.lower("name") == F.lower("place")).groupBy("name").agg(F.min("id").alias("id"))
-    wild = asked.filter(F.col("name").rlike("[%_\\\\]")).join(F.broadcast(places), F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
+    places = small(places)
+    wild = asked.filter(F.col("name").rlike("[%_\\\\]")).join(places, F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
     exact = exact.unionByName(wild)
     rest = asked.join(exact, "name", "left_anti")
-    part = rest.join(F.broadcast(places), F.expr("place ilike concat('%', name, '%')")).groupBy("name").agg(F.min("id").alias("id"))
+    part = rest.join(places, F.expr("place ilike concat('%', name, '%')")).groupBy("name").agg(F.min("id").alias("id"))
     rest = rest.join(part, "name", "left_anti")
     close = similar_pairs(rest.select(F.col("name").alias("a"), F.col("name").alias("text")), places.select(F.col("id").alias("b"), F.col("place").alias("text")), least)
     close = close.groupBy(F.col("a").alias("name")).agg(F.min_by("b", F.struct(-F.col("score"), F.col("b"))).alias("id"))
@@ -89,7 +91,7 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
     """
     asked = (
         news.filter(F.col("id_municipio").isNotNull() & ~missing(F.col("numero_edital")))
-        .join(F.broadcast(modalities.select(F.col("id_modalidade_licitacao"), F.col("descricao").alias("asked_modality"))), "id_modalidade_licitacao", "left")
+        .join(small(modalities.select(F.col("id_modalidade_licitacao"), F.col("descricao").alias("asked_modality"))), "id_modalidade_licitacao", "left")
         .select("id_noticia", "id_municipio", F.col("numero_edital").alias("asked"), F.coalesce("asked_modality", F.lit("")).alias("asked_modality"))
     )
     offered = (
@@ -97,12 +99,12 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
         .join(units, "id_unidade_gestora").join(bodies, "id_ente")
         .select("id_processo_licitatorio", "numero_edital", "descricao", "id_municipio")
     )
-    kinds = (
-        asked.select("asked_modality").distinct().join(offered.select("descricao").distinct(), F.lit(True))
-        .withColumn("score_modalidade", similarity(F.col("descricao"), F.col("asked_modality")))
-        .filter((F.col("asked_modality") == "") | (F.col("score_modalidade") > F.lit(least).cast("float")))
-    )
-    scoped = asked.join(F.broadcast(kinds), "asked_modality")
+    kinds = similar_pairs(
+        asked.filter("asked_modality <> ''").select(F.col("asked_modality").alias("a"), F.col("asked_modality").alias("text")).distinct(),
+        offered.select(F.col("descricao").alias("b"), F.col("descricao").alias("text")).distinct(), least,
+    ).select(F.col("a").alias("asked_modality"), F.col("b").alias("descricao"), F.col("score").alias("score_modalidade"))
+    kinds = kinds.unionByName(offered.select(F.lit("").alias("asked_modality"), "descricao", F.lit(0.0).cast("float").alias("score_modalidade")).distinct())
+    scoped = asked.join(small(stored(kinds)), "asked_modality")
     near = similar_pairs(
         scoped.select(F.col("id_noticia").alias("a"), "id_municipio", "descricao", F.col("asked").alias("text")),
         offered.select(F.col("id_processo_licitatorio").alias("b"), "id_municipio", "descricao", F.col("numero_edital").alias("text")),

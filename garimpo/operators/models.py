@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.functions.text import clean_text, normalize_edital
+from garimpo.sources.shared import small
 
 # Tender modalities as texts write them, and their normal form.
 MODALITIES = {
@@ -64,7 +65,7 @@ def named(rows: DataFrame, key: str, text: str, dictionary: DataFrame, most_word
     entry = F.array_join(F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ")
     each = rows.select(key, F.explode(F.array(words)).alias("w"))
     grams = F.flatten(F.array(*[_grams(F.col("w"), n) for n in range(1, most_words + 1)]))
-    found = each.select(key, F.explode(F.array_distinct(grams)).alias("g")).join(dictionary.select("name", entry.alias("g")).distinct(), "g")
+    found = each.select(key, F.explode(F.array_distinct(grams)).alias("g")).join(small(dictionary.select("name", entry.alias("g")).distinct()), "g")
     return found.groupBy(key).agg(F.array_sort(F.collect_set("name")).alias("names"))
 
 

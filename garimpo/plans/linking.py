@@ -6,6 +6,7 @@ from garimpo.operators import linking as L
 from garimpo.plans.scalars import TRGM_SQL, sim_sql
 from garimpo.plans.tables import table
 from garimpo.registry import query
+from garimpo.sources.shared import stored
 
 # Tenders are orders; modality is the priority, unit the customer, body (nation, segment), place the nation.
 # News items are orders with key mod 20 = 1; their tender number is written in another way.
@@ -108,7 +109,7 @@ def resolve_name(spark, sf_dir):
 def info(spark, sf_dir):
     """(candidates with details, objects)"""
     news, procs, mods, units, bodies, places, texts = standin(spark, sf_dir)
-    cands = L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio")
+    cands = stored(L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio"))
     known = L.details(cands, procs, mods, units, bodies, places).join(texts, "id_unidade_gestora")
     return cands.join(known, "id_processo_licitatorio"), news.select("id_noticia", "objeto")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,3 +25,8 @@ def stored(df: DataFrame, at: str | None = None) -> DataFrame:
     path = at or shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """The frame with a broadcast hint where it is counted to be small; unchanged, for a shuffle join, beyond."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
