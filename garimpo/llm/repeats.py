@@ -31,13 +31,19 @@ from pyspark.sql import functions as F
 
 from garimpo.llm.common import FEW_ROWS, partitions, stored
 from garimpo.llm.suffixes import maximal_repeats
-from garimpo.llm.words import mixed
+from garimpo.llm.words import mixed, trim
 
 LENGTH = 50
 GRAM = 18
 #: Bytes of texts that a task handles at a time.
-CHUNK = 2 << 20
-#: Records of one hash from which its stretches are split by a second hash.
+CHUNK = 1 << 20
+#: Hashes of strings that a task gathers before it sends them on.
+GATHERED = 200_000
+#: Places for each partition at which stretches are compared; a task holds one at a time.
+PLACES = 16
+#: Stretches that a task gathers before it sends them on.
+SENT = 30_000
+#: Documents of one hash above which its stretches are split by a second hash.
 HOT = 5_000
 _BASE = 0x100000001B3
 _SALT = np.uint64(0x9FB21C651E98DF25)
@@ -136,7 +142,7 @@ def _dealt(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
 
 
 def repeated_hashes(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
-    """``doc_id, h, hot``: hashes of a document that another document has too."""
+    """``doc_id, h``: hashes of a document that another document has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,26 +151,32 @@ def repeated_hashes(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
                 x = Strings([v.as_py() or b"" for v in batch.column(1)[part]], length, k)
                 hs.append(x.least)
                 ds.append(ids[part][x.owner])
-            if not hs:
-                continue
-            h, d = np.concatenate(hs), np.concatenate(ds)
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])] if len(h) else np.empty(0, bool)
-            h, d = h[once], d[once]
-            head = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, bool)
-            several = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1] > 1 if len(h) else head
-            flag = np.where(several, 2, 0)
-            sent = (h % np.uint64(n)).astype(np.int64)
-            # 0: one document so far; 1: known to repeat, sent once; 2: settled here, passed through.
-            keep = several & head
-            rows = list(_dealt(
-                np.concatenate([np.where(several, d % n, sent), sent[keep]]),
-                np.concatenate([h, h[keep]]), np.concatenate([d, d[keep]]), np.concatenate([flag, np.ones(keep.sum(), np.int64)]).astype(np.int8),
-            ))
-            yield _columns(["bucket", "h", "d", "flag"], rows)
+                if sum(map(len, hs)) > GATHERED:
+                    yield packed(np.concatenate(hs), np.concatenate(ds))
+                    hs, ds = [], []
+            if hs:
+                yield packed(np.concatenate(hs), np.concatenate(ds))
+            trim()
+
+    def packed(h: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((d, h))
+        h, d = h[order], d[order]
+        once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])] if len(h) else np.empty(0, bool)
+        h, d = h[once], d[once]
+        head = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, bool)
+        several = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1] > 1 if len(h) else head
+        flag = np.where(several, 2, 0)
+        sent = (h % np.uint64(n)).astype(np.int64)
+        # 0: one document so far; 1: known to repeat, sent once; 2: settled here, passed through.
+        keep = several & head
+        rows = list(_dealt(
+            np.concatenate([np.where(several, d % n, sent), sent[keep]]),
+            np.concatenate([h, h[keep]]), np.concatenate([d, d[keep]]), np.concatenate([flag, np.ones(keep.sum(), np.int64)]).astype(np.int8),
+        ))
+        return _columns(["bucket", "h", "d", "flag"], rows)
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        trim()
         h, d = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("h", np.uint64), ("d", np.int64)))
         flag = np.frombuffer(b"".join(pdf["flag"]), np.int8)
         through, own = flag == 2, flag != 2
@@ -175,20 +187,15 @@ def repeated_hashes(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
         cuts = np.flatnonzero(head)
         many = np.zeros(len(ho), bool)
         if len(ho):
-            size = np.bincount(g)
             differs = np.minimum.reduceat(do, cuts) != np.maximum.reduceat(do, cuts)
             many = (differs | (np.maximum.reduceat(fo, cuts) > 0))[g] & (fo == 0)
-            hot = size[g] > HOT
-        else:
-            hot = many
         return pd.DataFrame({
             "doc_id": np.concatenate([do[many], d[through]]),
             "h": np.concatenate([ho[many], h[through]]).view(np.int64),
-            "hot": np.concatenate([hot[many], np.zeros(through.sum(), bool)]),
         })
 
     dealt = texts.mapInArrow(run, "bucket int, h binary, d binary, flag binary")
-    return dealt.groupBy("bucket").applyInPandas(settle, "doc_id long, h long, hot boolean")
+    return dealt.groupBy("bucket").applyInPandas(settle, "doc_id long, h long")
 
 
 def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
@@ -223,30 +230,39 @@ def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
                 for s, e, h, d, a in zip(starts.tolist(), ends.tolist(), least.tolist(), docs.tolist(), local.tolist()):
                     body = x.data[s : e + length - 1]
                     first = seen.setdefault((h, body), len(spans))
-                    if first == len(spans):
+                    # A second place in the same document is sent on like the first.
+                    if first == len(spans) or spans[first][1] == d:
                         spans.append((h, d, a, e - s + length - 1, body))
                     elif spans[first][1] < d:
                         done.append((d, a, a + len(body)))
-                    elif spans[first][1] > d:
+                    else:
                         old = spans[first]
                         done.append((old[1], old[2], old[2] + old[3]))
                         spans[first] = (h, d, a, len(body), body)
-            rows = []
-            if spans:
-                h = np.array([s[0] for s in spans], np.uint64)
-                order = np.argsort(h % np.uint64(n), kind="stable")
-                bucket = (h % np.uint64(n)).astype(np.int64)[order]
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-                for s, e in zip(cuts[:-1], cuts[1:]):
-                    own = [spans[i] for i in order[s:e]]
-                    nums = np.array([(x[1], x[2], x[3]) for x in own], np.int64)
-                    rows.append((int(bucket[s]), h[order[s:e]].tobytes(), nums.tobytes(), b"".join(x[4] for x in own)))
-            if done:
-                gone = _merged(np.array(done, np.int64))
-                rows += [(b, b"", x, b"") for b, x in _dealt(gone[:, 0] % n, gone)]
-            yield _columns(["bucket", "h", "nums", "body"], rows)
+                if len(spans) > SENT:
+                    yield packed(spans, done)
+                    seen, spans, done = {}, [], []
+            yield packed(spans, done)
+            trim()
+
+    def packed(spans: list[tuple], done: list[tuple]) -> pa.RecordBatch:
+        rows = []
+        if spans:
+            h = np.array([s[0] for s in spans], np.uint64)
+            order = np.argsort(h % np.uint64(n), kind="stable")
+            bucket = (h % np.uint64(n)).astype(np.int64)[order]
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                own = [spans[i] for i in order[s:e]]
+                nums = np.array([(x[1], x[2], x[3]) for x in own], np.int64)
+                rows.append((int(bucket[s]), h[order[s:e]].tobytes(), nums.tobytes(), b"".join(x[4] for x in own)))
+        if done:
+            gone = _merged(np.array(done, np.int64))
+            rows += [(b, b"", x, b"") for b, x in _dealt(gone[:, 0] % n, gone)]
+        return _columns(["bucket", "h", "nums", "body"], rows)
 
     def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
+        trim()
         out, first = [np.empty((0, 3), np.int64)], {}
         hs, docs, starts, bodies = [], [], [], []
         for h, nums, body in zip(pdf["h"], pdf["nums"], pdf["body"]):
@@ -259,14 +275,14 @@ def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
                 text = body[at : at + size]
                 at += size
                 i = first.setdefault((key, text), len(hs))
-                if i == len(hs):
+                if i == len(hs) or docs[i] == d:
                     hs.append(key)
                     docs.append(d)
                     starts.append(a)
                     bodies.append(text)
                 elif docs[i] < d:
                     gone.append((d, a, a + size))
-                elif docs[i] > d:
+                else:
                     gone.append((docs[i], starts[i], starts[i] + size))
                     docs[i], starts[i] = d, a
             if gone:
@@ -277,14 +293,15 @@ def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
             some = np.flatnonzero(size[where] > 1)
             d, a = np.array(docs)[some], np.array(starts)[some]
             found: list[np.ndarray] = []
+            held = 0
             for n_bytes, who, at in maximal_repeats([bodies[i] for i in some], where[some], length, 2 * length):
                 later = d[who] > d[who].min()
                 if later.any():
                     s = (a[who] + at)[later]
                     found.append(np.stack([d[who][later], s, s + n_bytes], 1))
-                    if len(found) > 20_000:
-                        out.append(_merged(np.concatenate(found)))
-                        found = []
+                    held += len(s)
+                    if held > GATHERED:  # intervals of a text that repeats itself are nested
+                        found, held = [_merged(np.concatenate(found))], 0
             if found:
                 out.append(_merged(np.concatenate(found)))
         got = _merged(np.concatenate(out))
@@ -337,11 +354,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> Data
     copies = judged.filter("copy").select("doc_id").distinct()
     singles = texts.join(F.broadcast(copies) if copies.count() <= FEW_ROWS else copies, "doc_id", "left_anti")
     # An identifier of which one row is a copy and another is not keeps all its rows in play.
-    found = stored(repeated_hashes(singles, length, k, n))
-    per_doc = found.groupBy("doc_id").agg(F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot_hs"))
+    found = stored(repeated_hashes(singles, length, k, n * PLACES // 4))
+    crowded = stored(found.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("h", F.lit(True).alias("hot")))
+    known = found.join(F.broadcast(crowded) if crowded.count() <= FEW_ROWS else crowded, "h", "left")
+    per_doc = known.groupBy("doc_id").agg(F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot_hs"))
     flagged = stored(found.select("doc_id").distinct())
     some = _picked(singles, flagged)
-    gone = stored(marks(some.join(per_doc, "doc_id").select("doc_id", "text", "hs", "hot_hs"), length, k, n))
+    gone = stored(marks(some.join(per_doc, "doc_id").select("doc_id", "text", "hs", "hot_hs"), length, k, n * PLACES))
     spans = gone.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     touched = stored(gone.select("doc_id").distinct())
 
