@@ -245,8 +245,8 @@ def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: s
             for s in range(0, len(pdf), 2000):
                 part = pdf.iloc[s : s + 2000]
                 out = []
-                for m in tagger.tag(list(part["_text"])):
-                    if m is None or not labels:
+                for m in tagger.tag(list(part["_text"])) if labels else [None] * len(part):
+                    if m is None:
                         out.append((UND, 0.0, 0))
                         continue
                     mean, best = m.mean(0), m.argmax(1)
