@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words that a task remembers the hash of, at most.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -20,7 +20,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list) -> np.ndarray:
-        return np.fromiter((self[w] for w in words), np.uint64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -40,3 +40,16 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     for i in range(1, k):
         out = mixed(out * np.uint64(3) + hashes[i : n - k + 1 + i])
     return out
+
+
+def trim() -> None:
+    """Give memory that a finished batch left behind back to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
