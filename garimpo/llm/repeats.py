@@ -142,46 +142,49 @@ def _dealt(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
 
 
 def repeated_hashes(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
-    """``doc_id, h``: hashes of a document that another document has too."""
+    """``doc_id, row, h``: hashes of a row that another document has too; ``texts`` are ``doc_id, text, row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, ds = batch.column(0).to_numpy(), [], []
+            ids, nums, hs, ds, rs = batch.column(0).to_numpy(), batch.column(2).to_numpy(), [], [], []
             for part in _chunks(batch):
                 x = Strings([v.as_py() or b"" for v in batch.column(1)[part]], length, k)
                 hs.append(x.least)
                 ds.append(ids[part][x.owner])
+                rs.append(nums[part][x.owner])
                 if sum(map(len, hs)) > GATHERED:
-                    yield packed(np.concatenate(hs), np.concatenate(ds))
-                    hs, ds = [], []
+                    yield packed(np.concatenate(hs), np.concatenate(ds), np.concatenate(rs))
+                    hs, ds, rs = [], [], []
             if hs:
-                yield packed(np.concatenate(hs), np.concatenate(ds))
+                yield packed(np.concatenate(hs), np.concatenate(ds), np.concatenate(rs))
             trim()
 
-    def packed(h: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])] if len(h) else np.empty(0, bool)
-        h, d = h[once], d[once]
+    def packed(h: np.ndarray, d: np.ndarray, r: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((r, d, h))
+        h, d, r = h[order], d[order], r[order]
+        once = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (r[1:] != r[:-1])] if len(h) else np.empty(0, bool)
+        h, d, r = h[once], d[once], r[once]
         head = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, bool)
-        several = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1] > 1 if len(h) else head
+        # Rows of one identifier are no other document to each other.
+        cuts = np.flatnonzero(head)
+        several = (d[cuts] != d[np.r_[cuts[1:], len(h)] - 1])[np.cumsum(head) - 1] if len(h) else head
         flag = np.where(several, 2, 0)
         sent = (h % np.uint64(n)).astype(np.int64)
         # 0: one document so far; 1: known to repeat, sent once; 2: settled here, passed through.
         keep = several & head
         rows = list(_dealt(
-            np.concatenate([np.where(several, d % n, sent), sent[keep]]),
-            np.concatenate([h, h[keep]]), np.concatenate([d, d[keep]]), np.concatenate([flag, np.ones(keep.sum(), np.int64)]).astype(np.int8),
+            np.concatenate([np.where(several, (d ^ r) % n, sent), sent[keep]]),
+            np.concatenate([h, h[keep]]), np.concatenate([d, d[keep]]), np.concatenate([r, r[keep]]), np.concatenate([flag, np.ones(keep.sum(), np.int64)]).astype(np.int8),
         ))
-        return _columns(["bucket", "h", "d", "flag"], rows)
+        return _columns(["bucket", "h", "d", "r", "flag"], rows)
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         trim()
-        h, d = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("h", np.uint64), ("d", np.int64)))
+        h, d, r = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("h", np.uint64), ("d", np.int64), ("r", np.int64)))
         flag = np.frombuffer(b"".join(pdf["flag"]), np.int8)
         through, own = flag == 2, flag != 2
         order = np.lexsort((d[own], h[own]))
-        ho, do, fo = h[own][order], d[own][order], flag[own][order]
+        ho, do, ro, fo = h[own][order], d[own][order], r[own][order], flag[own][order]
         head = np.r_[True, ho[1:] != ho[:-1]] if len(ho) else np.empty(0, bool)
         g = np.cumsum(head) - 1
         cuts = np.flatnonzero(head)
@@ -191,22 +194,23 @@ def repeated_hashes(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
             many = (differs | (np.maximum.reduceat(fo, cuts) > 0))[g] & (fo == 0)
         return pd.DataFrame({
             "doc_id": np.concatenate([do[many], d[through]]),
+            "row": np.concatenate([ro[many], r[through]]),
             "h": np.concatenate([ho[many], h[through]]).view(np.int64),
         })
 
-    dealt = texts.mapInArrow(run, "bucket int, h binary, d binary, flag binary")
-    return dealt.groupBy("bucket").applyInPandas(settle, "doc_id long, h long")
+    dealt = texts.mapInArrow(run, "bucket int, h binary, d binary, r binary, flag binary")
+    return dealt.groupBy("bucket").applyInPandas(settle, "doc_id long, row long, h long")
 
 
 def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
-    """``doc_id, s, e``: byte ranges to remove, for texts with their repeated hashes ``hs``."""
+    """``doc_id, row, s, e``: byte ranges to remove, for texts with their row and its repeated hashes ``hs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple, int] = {}
-            spans: list[tuple[int, int, int, int, bytes]] = []
-            done: list[tuple[int, int, int]] = []
-            ids, lists, hots = batch.column(0).to_numpy(), batch.column(2), batch.column(3)
+            spans: list[tuple[int, int, int, int, int, bytes]] = []
+            done: list[tuple[int, int, int, int]] = []
+            ids, nums, lists, hots = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3), batch.column(4)
             for part in _chunks(batch):
                 x = Strings([v.as_py() or b"" for v in batch.column(1)[part]], length, k)
                 wanted = np.concatenate([np.asarray(v.values.to_numpy(), np.int64) for v in lists[part]] or [np.empty(0, np.int64)])
@@ -225,20 +229,20 @@ def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
                         a, b, o, h = zip(*more)
                         starts, ends, owner = np.r_[starts[~split], a], np.r_[ends[~split], b], np.r_[owner[~split], o]
                         least = np.concatenate([least[~split], np.array(h, np.uint64)])
-                docs = ids[part][owner]
+                docs, own = ids[part][owner], nums[part][owner]
                 local = starts - x.base[owner]
-                for s, e, h, d, a in zip(starts.tolist(), ends.tolist(), least.tolist(), docs.tolist(), local.tolist()):
+                for s, e, h, d, r, a in zip(starts.tolist(), ends.tolist(), least.tolist(), docs.tolist(), own.tolist(), local.tolist()):
                     body = x.data[s : e + length - 1]
                     first = seen.setdefault((h, body), len(spans))
                     # A second place in the same document is sent on like the first.
                     if first == len(spans) or spans[first][1] == d:
-                        spans.append((h, d, a, e - s + length - 1, body))
+                        spans.append((h, d, r, a, e - s + length - 1, body))
                     elif spans[first][1] < d:
-                        done.append((d, a, a + len(body)))
+                        done.append((d, r, a, a + len(body)))
                     else:
                         old = spans[first]
-                        done.append((old[1], old[2], old[2] + old[3]))
-                        spans[first] = (h, d, a, len(body), body)
+                        done.append((old[1], old[2], old[3], old[3] + old[4]))
+                        spans[first] = (h, d, r, a, len(body), body)
                 if len(spans) > SENT:
                     yield packed(spans, done)
                     seen, spans, done = {}, [], []
@@ -254,80 +258,103 @@ def marks(texts: DataFrame, length: int, k: int, n: int) -> DataFrame:
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
             for s, e in zip(cuts[:-1], cuts[1:]):
                 own = [spans[i] for i in order[s:e]]
-                nums = np.array([(x[1], x[2], x[3]) for x in own], np.int64)
-                rows.append((int(bucket[s]), h[order[s:e]].tobytes(), nums.tobytes(), b"".join(x[4] for x in own)))
+                nums = np.array([x[1:5] for x in own], np.int64)
+                rows.append((int(bucket[s]), h[order[s:e]].tobytes(), nums.tobytes(), b"".join(x[5] for x in own)))
         if done:
             gone = _merged(np.array(done, np.int64))
-            rows += [(b, b"", x, b"") for b, x in _dealt(gone[:, 0] % n, gone)]
+            rows += [(b, b"", x, b"") for b, x in _dealt((gone[:, 0] ^ gone[:, 1]) % n, gone)]
         return _columns(["bucket", "h", "nums", "body"], rows)
 
     def repeats(pdf: pd.DataFrame) -> pd.DataFrame:
         trim()
-        out, first = [np.empty((0, 3), np.int64)], {}
-        hs, docs, starts, bodies = [], [], [], []
+        out, first = [np.empty((0, 4), np.int64)], {}
+        hs, docs, own, starts, bodies = [], [], [], [], []
         for h, nums, body in zip(pdf["h"], pdf["nums"], pdf["body"]):
-            nums = np.frombuffer(nums, np.int64).reshape(-1, 3)
+            nums = np.frombuffer(nums, np.int64).reshape(-1, 4)
             if not h:
                 out.append(nums)
                 continue
             at, gone = 0, []
-            for key, (d, a, size) in zip(np.frombuffer(h, np.uint64).tolist(), nums.tolist()):
+            for key, (d, r, a, size) in zip(np.frombuffer(h, np.uint64).tolist(), nums.tolist()):
                 text = body[at : at + size]
                 at += size
                 i = first.setdefault((key, text), len(hs))
                 if i == len(hs) or docs[i] == d:
                     hs.append(key)
                     docs.append(d)
+                    own.append(r)
                     starts.append(a)
                     bodies.append(text)
                 elif docs[i] < d:
-                    gone.append((d, a, a + size))
+                    gone.append((d, r, a, a + size))
                 else:
-                    gone.append((docs[i], starts[i], starts[i] + size))
-                    docs[i], starts[i] = d, a
+                    gone.append((docs[i], own[i], starts[i], starts[i] + size))
+                    docs[i], own[i], starts[i] = d, r, a
             if gone:
                 out.append(np.array(gone, np.int64))
         if hs:
             key = np.array(hs, np.uint64)
             _, where, size = np.unique(key, return_inverse=True, return_counts=True)
             some = np.flatnonzero(size[where] > 1)
-            d, a = np.array(docs)[some], np.array(starts)[some]
+            d, r, a = np.array(docs)[some], np.array(own)[some], np.array(starts)[some]
             found: list[np.ndarray] = []
             held = 0
             for n_bytes, who, at in maximal_repeats([bodies[i] for i in some], where[some], length, 2 * length):
                 later = d[who] > d[who].min()
                 if later.any():
                     s = (a[who] + at)[later]
-                    found.append(np.stack([d[who][later], s, s + n_bytes], 1))
+                    found.append(np.stack([d[who][later], r[who][later], s, s + n_bytes], 1))
                     held += len(s)
                     if held > GATHERED:  # intervals of a text that repeats itself are nested
                         found, held = [_merged(np.concatenate(found))], 0
             if found:
                 out.append(_merged(np.concatenate(found)))
         got = _merged(np.concatenate(out))
-        return pd.DataFrame({"doc_id": got[:, 0], "s": got[:, 1], "e": got[:, 2]})
+        return pd.DataFrame(dict(zip(("doc_id", "row", "s", "e"), got.T)))
 
     dealt = texts.mapInArrow(run, "bucket int, h binary, nums binary, body binary")
-    return dealt.groupBy("bucket").applyInPandas(repeats, "doc_id long, s long, e long")
+    return dealt.groupBy("bucket").applyInPandas(repeats, "doc_id long, row long, s long, e long")
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
-    """(doc, start, end) ranges, those of a document that touch or overlap made one."""
+    """(doc, row, start, end) ranges, those of a row that touch or overlap made one."""
     if len(spans) < 2:
-        return spans.reshape(-1, 3)
-    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
-    doc = np.cumsum(np.r_[0, spans[1:, 0] != spans[:-1, 0]])
-    far = int(spans[:, 2].max()) + 1
-    reach = np.maximum.accumulate(spans[:, 2] + doc * far)
-    new = np.r_[True, spans[1:, 1] + doc[1:] * far > reach[:-1]]
+        return spans.reshape(-1, 4)
+    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
+    doc = np.cumsum(np.r_[0, (spans[1:, 0] != spans[:-1, 0]) | (spans[1:, 1] != spans[:-1, 1])])
+    far = int(spans[:, 3].max()) + 1
+    reach = np.maximum.accumulate(spans[:, 3] + doc * far)
+    new = np.r_[True, spans[1:, 2] + doc[1:] * far > reach[:-1]]
     cuts = np.flatnonzero(new)
     ends = np.r_[cuts[1:], len(spans)] - 1
-    return np.stack([spans[cuts, 0], spans[cuts, 1], reach[ends] - doc[ends] * far], 1)
+    return np.stack([spans[cuts, 0], spans[cuts, 1], spans[cuts, 2], reach[ends] - doc[ends] * far], 1)
+
+
+#: What names a row: its identifier, and its number where identifiers repeat.
+ROW = ["doc_id", "row"]
+
+
+def _picked(texts: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """Texts joined with the rows named; those are broadcast where they are few."""
+    return texts.join(F.broadcast(rows) if rows.count() <= FEW_ROWS else rows, ROW, how)
 
 
-def _picked(texts: DataFrame, rows: DataFrame, on: str = "doc_id") -> DataFrame:
-    """Texts joined with rows of their identifier; the rows are broadcast where they are few."""
-    return texts.join(F.broadcast(rows) if rows.count() <= FEW_ROWS else rows, on)
+def _numbered(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts with ``row``, ``doc_id, row, n_bytes, sha`` of each): 0 where no other row has the identifier.
+
+    Rows that repeat an identifier are numbered by their text; equal ones share a number, as
+    they lose the same bytes.  The numbers are stored, so every later reading finds the same.
+    """
+    ids = stored(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
+    again = stored(ids.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
+    n = again.count()
+    if not n:
+        return texts.withColumn("row", F.lit(0).cast("long")), ids.withColumn("row", F.lit(0).cast("long"))
+    twins = ids.join(F.broadcast(again) if n <= FEW_ROWS else again, "doc_id", "left_semi").select("doc_id", "sha").distinct()
+    twins = stored(twins.withColumn("row", F.monotonically_increasing_id() + 1))
+    few = F.broadcast(twins) if twins.count() <= FEW_ROWS else twins
+    known = lambda df: df.join(few, ["doc_id", "sha"], "left").withColumn("row", F.coalesce("row", F.lit(0).cast("long")))
+    return known(texts.withColumn("sha", F.sha2("text", 256))).select("doc_id", "text", "row"), stored(known(ids))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> DataFrame:
@@ -338,40 +365,37 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> Data
     documents.  ``kept_text`` is binary, as a cut may fall inside a character.  Null text counts as
     empty; shorter texts lose nothing.  A null identifier counts as larger than all
     others; rows that repeat an identifier are no documents with a smaller one to each
-    other, and each loses what smaller ones hold.
+    other, and each loses what smaller ones hold, at its own places.
     """
     n = partitions(docs.sparkSession)
-    # Rows get a number of their own only where identifiers repeat; the common case needs none.
-    texts = docs.select(
+    texts, ids = _numbered(docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
-    ids = stored(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
+    ))
     firsts = ids.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("sha", "f_sha")
     judged = stored(
-        ids.join(firsts, F.col("sha") == F.col("f_sha"), "left").select("doc_id", "n_bytes", "sha", (F.col("doc_id") > F.col("first_id")).alias("copy"))
+        ids.join(firsts, F.col("sha") == F.col("f_sha"), "left").select(*ROW, "n_bytes", "sha", (F.col("doc_id") > F.col("first_id")).alias("copy"))
     )
-    copies = judged.filter("copy").select("doc_id").distinct()
-    singles = texts.join(F.broadcast(copies) if copies.count() <= FEW_ROWS else copies, "doc_id", "left_anti")
-    # An identifier of which one row is a copy and another is not keeps all its rows in play.
+    # What a whole copy holds, the smaller document holds too: it is neither searched nor searched against.
+    singles = _picked(texts, judged.filter("copy").select(*ROW).distinct(), "left_anti").select("doc_id", "text", "row")
     found = stored(repeated_hashes(singles, length, k, n * PLACES // 4))
     crowded = stored(found.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("h", F.lit(True).alias("hot")))
     known = found.join(F.broadcast(crowded) if crowded.count() <= FEW_ROWS else crowded, "h", "left")
-    per_doc = known.groupBy("doc_id").agg(F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot_hs"))
-    flagged = stored(found.select("doc_id").distinct())
+    per_doc = known.groupBy(*ROW).agg(F.collect_set("h").alias("hs"), F.collect_set(F.when(F.col("hot"), F.col("h"))).alias("hot_hs"))
+    flagged = stored(found.select(*ROW).distinct())
     some = _picked(singles, flagged)
-    gone = stored(marks(some.join(per_doc, "doc_id").select("doc_id", "text", "hs", "hot_hs"), length, k, n * PLACES))
-    spans = gone.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    touched = stored(gone.select("doc_id").distinct())
+    gone = stored(marks(some.join(per_doc, ROW).select("doc_id", "text", "row", "hs", "hot_hs"), length, k, n * PLACES))
+    spans = gone.groupBy(*ROW).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    touched = stored(gone.select(*ROW).distinct())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for d, text, parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 text = text.as_py()
-                got = _merged(np.array([(0, p["s"], p["e"]) for p in parts.as_py()], np.int64))
+                got = _merged(np.array([(0, 0, p["s"], p["e"]) for p in parts.as_py()], np.int64))
                 kept, at = [], 0
-                for _, s, e in got.tolist():
+                for _, _, s, e in got.tolist():
                     kept.append(text[at:s])
                     at = e
                 kept = b"".join([*kept, text[at:]])
@@ -380,9 +404,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 4 else pa.int64()) for i, c in enumerate(cols)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    changed = _picked(singles, touched).join(spans, "doc_id").select("doc_id", "text", "spans").mapInArrow(cut, schema)
-    few = F.broadcast(touched) if touched.count() <= FEW_ROWS else touched
-    same = judged.filter("not coalesce(copy, false)").join(few, "doc_id", "left_anti").select(
+    changed = _picked(singles, touched).join(spans, ROW).select("doc_id", "text", "spans").mapInArrow(cut, schema)
+    same = _picked(judged.filter("not coalesce(copy, false)"), touched, "left_anti").select(
         "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256")
     )
     whole = judged.filter("copy").select(

@@ -292,6 +292,27 @@ def test_repeats_edges(edge):
     assert repeats.remove_repeats(edge.limit(0)).count() == 0
 
 
+def test_repeats_of_null_and_repeated_identifiers(spark):
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    shared, whole, clean, other = word(80), word(90), word(200), word(70)
+    rows = [(1, shared + word(60)), (2, whole), (5, word(30) + shared), (5, clean), (5, whole), (5, word(100) + other), (9, other + word(40)),
+            (None, word(55) + shared + word(10)), (None, clean + word(20)), (None, whole), (None, word(150)), (None, other), (None, None), (7, "x" + clean[:60]), (7, "x" + clean[:60])]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    strings = lambda t: {t[i : i + 50] for i in range(len(t) - 49)}
+    want = []
+    for d, t in rows:
+        b = (t or "").encode()
+        seen = set().union(*[strings((u or "").encode()) for c, u in rows if c is not None and (d is None or c < d)])
+        mask = bytearray(len(b))
+        for i in range(len(b) - 49):
+            if b[i : i + 50] in seen:
+                mask[i : i + 50] = b"\1" * 50
+        kept = bytes(x for x, m in zip(b, mask) if not m)
+        want.append((d is None, d or 0, len(b), sum(mask), len(re.findall(b"\1+", bytes(mask))), hashlib.sha256(kept).hexdigest()))
+    assert got == sorted(want)
+
+
 def test_maximal_repeats_name_all_occurrences():
     rnd = random.Random(9)
     strings = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 40))) for _ in range(12)]
