@@ -47,7 +47,7 @@ def op9_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(read(spark, sf_dir, "documents"))
+    return repeats.digests(repeats.kept_texts(read(spark, sf_dir, "documents"))).drop("kept_text")
 
 
 OPERATORS = (

@@ -13,14 +13,13 @@ across places.
 3. Each place sorts the suffixes of its stretches (enhanced suffix array), scans the common
    prefixes into their interval tree and takes the maximal repeats with all occurrences;
    occurrences in documents after the smallest one are marked.
-4. Marks are merged for each document and its remaining bytes hashed.
+4. Marks are merged for each document and its other bytes kept.
 
 Texts with an equal text of a smaller identifier are marked whole beforehand.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -357,8 +356,8 @@ def _numbered(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return known(texts.withColumn("sha", F.sha2("text", 256))).select("doc_id", "text", "row"), stored(known(ids))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text``.
+def kept_texts(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> DataFrame:
+    """One row per document: ``doc_id, n_bytes, spans, kept_text``; ``spans`` are the byte ranges removed.
 
     Bytes covered by a string of ``length`` bytes that also starts in a document with a
     smaller identifier are removed; strings are judged on the input and never cross
@@ -390,26 +389,42 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> Data
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for d, text, parts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                text = text.as_py()
-                got = _merged(np.array([(0, 0, p["s"], p["e"]) for p in parts.as_py()], np.int64))
-                kept, at = [], 0
-                for _, _, s, e in got.tolist():
-                    kept.append(text[at:s])
-                    at = e
-                kept = b"".join([*kept, text[at:]])
-                out.append((d, len(text), len(text) - len(kept), len(got), hashlib.sha256(kept).hexdigest()))
-            cols = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 4 else pa.int64()) for i, c in enumerate(cols)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    changed = _picked(singles, touched).join(spans, ROW).select("doc_id", "text", "spans").mapInArrow(cut, schema)
-    same = _picked(judged.filter("not coalesce(copy, false)"), touched, "left_anti").select(
-        "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256")
+            for part in _chunks(batch):
+                spans, bodies, sizes = [], [], []
+                for text, parts in zip(batch.column(1)[part], batch.column(2)[part]):
+                    text = text.as_py()
+                    got = _merged(np.array([(0, 0, p["s"], p["e"]) for p in parts.as_py()], np.int64))
+                    kept, at = [], 0
+                    for _, _, s, e in got.tolist():
+                        kept.append(text[at:s])
+                        at = e
+                    spans.append([{"s": s, "e": e} for _, _, s, e in got.tolist()])
+                    bodies.append(b"".join([*kept, text[at:]]))
+                    sizes.append(len(text))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[part], pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(bodies, pa.binary())],
+                    ["doc_id", "n_bytes", "spans", "kept_text"],
+                )
+
+    span = "array<struct<s: bigint, e: bigint>>"
+    changed = _picked(singles, touched).join(spans, ROW).select("doc_id", "text", "spans").mapInArrow(cut, f"doc_id long, n_bytes long, spans {span}, kept_text binary")
+    same = _picked(singles, touched, "left_anti").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast(span).alias("spans"), F.col("text").alias("kept_text")
     )
     whole = judged.filter("copy").select(
-        "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"),
+        "doc_id", "n_bytes", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n_bytes").alias("e"))).cast(span).alias("spans"), F.lit("").cast("binary").alias("kept_text")
     )
     return same.unionByName(changed).unionByName(whole).withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+
+
+def digests(kept: DataFrame) -> DataFrame:
+    """``n_removed, n_spans, kept_sha256`` of the texts kept, beside them."""
+    return kept.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept_text")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept_text", 256).alias("kept_sha256"), "kept_text",
+    )
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> DataFrame:
+    """:func:`kept_texts` with their digests: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text``."""
+    return digests(kept_texts(docs, length, k))

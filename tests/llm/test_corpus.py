@@ -292,6 +292,22 @@ def test_repeats_edges(edge):
     assert repeats.remove_repeats(edge.limit(0)).count() == 0
 
 
+def test_repeats_give_the_kept_text(spark):
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdé fg") for _ in range(n))
+    passage, own = word(90), word(60)
+    rows = [(1, passage), (2, passage), (3, own + passage + "tail"), (4, "short"), (5, None)]
+    got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {1: passage, 2: "", 3: own + "tail", 4: "short", 5: ""}
+    assert {d: bytes(r.kept_text).decode() for d, r in got.items()} == want
+    for d, text in rows:
+        r, kept = got[d], want[d].encode()
+        assert (r.n_bytes, r.n_removed, r.kept_sha256) == (len((text or "").encode()), len((text or "").encode()) - len(kept), hashlib.sha256(kept).hexdigest())
+    spans = {r.doc_id: [tuple(x) for x in r.spans] for r in repeats.kept_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    at = len(own.encode())
+    assert spans == {1: [], 2: [(0, len(passage.encode()))], 3: [(at, at + len(passage.encode()))], 4: [], 5: []}
+
+
 def test_repeats_of_null_and_repeated_identifiers(spark):
     rnd = random.Random(5)
     word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
