@@ -242,6 +242,14 @@ def test_jaccard_edges(edge):
     assert jaccard_join.keep_one(edge).columns == edge.columns
 
 
+def test_keep_one_of_null_and_repeated_identifiers(spark):
+    text = lambda tag, n=30: " ".join(f"{tag}{i}" for i in range(n))
+    rows = [(1, text("a")), (None, text("a") + " z"), (None, text("b")), (4, text("c")), (4, text("a") + " y"), (7, text("c") + " x"), (8, text("d")), (None, None), (4, "")]
+    got = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted(map(tuple, got), key=key) == sorted([rows[i] for i in (0, 2, 3, 6, 7, 8)], key=key)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.label for r in components(links).collect()}
