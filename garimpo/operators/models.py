@@ -19,7 +19,7 @@ MODALITIES = {
     "inexigibilidade de licitação": "inexigibilidade de licitação", "leilão": "leilão", "leilões": "leilão", "carta convite": "convite", "regime diferenciado de contratação": "regime diferenciado de contratação",
 }
 EDITAL = r"(?i)(?:edital|preg[aã]o(?:\s+(?:eletr[oô]nico|presencial))?|concorr[eê]ncia|processo|licita[cç][aã]o|tomada de pre[cç]os)\s*(?:n[º°o.]*|n[uú]mero)?\s*([0-9]{1,6}\s*(?:/|\sde\s)\s*[0-9]{4})"
-OBJECT = r"(?i)(?:objeto|contrata[cç][aã]o de|aquisi[cç][aã]o de|constru[cç][aã]o de|fornecimento de|compra de)\s*:?\s*([^.;\n]{3,200})"
+OBJECT = r"(?i)(?:objeto|contrata[cç][aã]o de|aquisi[cç][aã]o de|constru[cç][aã]o de|fornecimento de|compra de)\s*:?\s*([^.;\n]{3,})"
 
 
 def fit_classifier(texts: DataFrame, label: str = "label", features: int = 1 << 14, iterations: int = 20) -> PipelineModel:
@@ -59,12 +59,17 @@ def objects(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(OBJECT), F.lit(1)), lambda x: F.trim(x)))
 
 
-def named(rows: DataFrame, key: str, text: str, dictionary: DataFrame, most_words: int) -> DataFrame:
-    """``key, names``: dictionary entries (``name``) that stand in a text, found by an equi-join on word n-grams."""
+def named(rows: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
+    """``key, names``: dictionary entries (``name``) that stand in a text, found by an equi-join on word n-grams.
+
+    The n-grams are of the lengths that the dictionary's entries have.
+    """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    entry = F.array_join(F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ")
+    parts = F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    entry = F.array_join(parts, " ")
+    lengths = sorted(r.n for r in dictionary.select(F.size(parts).alias("n")).distinct().filter("n > 0").collect())
     each = rows.select(key, F.explode(F.array(words)).alias("w"))
-    grams = F.flatten(F.array(*[_grams(F.col("w"), n) for n in range(1, most_words + 1)]))
+    grams = F.flatten(F.array(*[_grams(F.col("w"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
     found = each.select(key, F.explode(F.array_distinct(grams)).alias("g")).join(small(dictionary.select("name", entry.alias("g")).distinct()), "g")
     return found.groupBy(key).agg(F.array_sort(F.collect_set("name")).alias("names"))
 
@@ -74,8 +79,8 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(place, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def extract(rows: DataFrame, key: str, text: str, places: DataFrame, most_words: int = 4) -> DataFrame:
+def extract(rows: DataFrame, key: str, text: str, places: DataFrame) -> DataFrame:
     """Rows with the four lists ``municipio, modalidade, edital, objeto``; explicit mentions only."""
     lists = rows.withColumns({"modalidade": modalities(F.col(text)), "edital": editais(F.col(text)), "objeto": objects(F.col(text))})
-    found = named(rows, key, text, places, most_words).select(F.col(key).alias("_k"), F.col("names").alias("municipio"))
+    found = named(rows, key, text, places).select(F.col(key).alias("_k"), F.col("names").alias("municipio"))
     return lists.join(found, F.col(key) == F.col("_k"), "left").drop("_k").withColumn("municipio", F.coalesce("municipio", F.array().cast("array<string>")))

@@ -120,3 +120,15 @@ def test_page_fields():
 def test_editais(spark):
     df = spark.createDataFrame([("Edital nº 0123/2023 e pregão número 24 de 2022; edital nº 123/2023",)], "t string")
     assert df.select(models.editais(F.col("t"))).first()[0] == ["123/2023", "24/2022"]
+
+
+def test_names_of_any_number_of_words_and_whole_objects(spark):
+    from garimpo.operators import models
+
+    item = " ".join(f"item {i} de papel" for i in range(40))
+    texts = spark.createDataFrame([(1, f"Em São Miguel da Boa Vista, objeto: {item}. Fim"), (2, "Em Lages; compra de giz"), (3, None)], "id int, text string")
+    places = spark.createDataFrame([("São Miguel da Boa Vista",), ("Lages",), ("São Miguel",), ("--",)], "name string")
+    got = {r.id: r for r in models.extract(texts, "id", "text", places).collect()}
+    assert got[1].municipio == ["São Miguel", "São Miguel da Boa Vista"] and got[2].municipio == ["Lages"] and got[3].municipio == []
+    assert got[1].objeto == [item] and got[2].objeto == ["giz"]
+    assert all(r.municipio == [] for r in models.extract(texts, "id", "text", places.limit(0)).collect())
