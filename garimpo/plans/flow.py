@@ -438,13 +438,13 @@ def stream_fk(spark, sf_dir):
 
 
 @query("stream_link", f"{LINKED} SELECT * FROM linked WHERE id_noticia % 3 <> 0")
-def stream_link(spark, sf_dir):
-    news = standin(spark, sf_dir)[0]
+def stream_link(spark, sf_dir, every=False):
+    news = standin(spark, sf_dir, every)[0]
     ids = F.when(F.col("id_noticia") % 2 == 0, F.format_string('{"inserted_ids":{"noticia":%d}}', "id_noticia")).otherwise(F.format_string('{"data":{"insert":{"noticia":%d}}}', "id_noticia"))
     events = news.select(F.when(F.col("id_noticia") % 3 == 0, "update.noticias").otherwise("insert.noticias").alias("routing_key"), ids.alias("ids_gerados_db"))
     path, out = shared_dir(spark), shared_dir(spark)
     events.repartition(2).write.parquet(path)
-    cands, objects = (stored(df) for df in info(spark, sf_dir))
+    cands, objects = (stored(df) for df in info(spark, sf_dir, every))
 
     def link(wanted):
         own = cands.join(wanted, "id_noticia", "left_semi")
@@ -453,3 +453,8 @@ def stream_link(spark, sf_dir):
     bindings = spark.createDataFrame([("linker", "insert.noticias")], "queue string, binding string")
     SL.run(spark.readStream.schema(SL.EVENT).option("maxFilesPerTrigger", 1).parquet(path), "linker", bindings, link, out, shared_dir(spark))
     return spark.read.parquet(out).drop("batch")
+
+
+@query("stream_link_all")
+def stream_link_all(spark, sf_dir):
+    return stream_link(spark, sf_dir, every=True)
