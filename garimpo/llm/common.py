@@ -42,6 +42,19 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Scratch:
+    """Frames of one call that are written below one folder and removed together when no later step reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.base = spark, shared_dir(spark)
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        return stored(df, f"{self.base}/{uuid.uuid4().hex}")
+
+    def clear(self) -> None:
+        remove(self.spark, self.base)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,26 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import stored
+from garimpo.llm.common import Scratch, stored
 
 
-def components(links: DataFrame, start: DataFrame | None = None, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (a, b): label is the component's smallest node.
 
     Every round takes the smallest label among a node and its neighbours (combined before
     the shuffle, so a node with very many links is no hot spot) and then follows labels to
-    their own labels, which halves long chains.  Rounds are written to the shared
-    folder; ``start`` holds labels of an earlier call on fewer links.
+    their own labels, which halves long chains, until no label moves.  Rounds are written to
+    the shared folder; those done with are removed.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
-    if start is not None:
-        old = start.select(F.col("node").alias("o_node"), F.col("label").alias("o_label"))
-        labels = labels.join(old, F.col("node") == F.col("o_node"), "full").select(
-            F.coalesce("node", "o_node").alias("node"), F.coalesce("o_label", "label").alias("label")
-        )
-    labels = stored(labels)
-    for _ in range(most_rounds):
+    scratch = Scratch(links.sparkSession)
+    both = scratch.stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    old = Scratch(links.sparkSession)
+    labels = old.stored(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
+    while True:
+        new = Scratch(links.sparkSession)
         of = labels.select(F.col("node").alias("n"), F.col("label").alias("l"))
         # A link also joins the labels of its ends, so components that met before move as one.
         hooks = (
@@ -33,7 +30,7 @@ def components(links: DataFrame, start: DataFrame | None = None, most_rounds: in
             .select(F.explode(F.array("node", "label")).alias("h_node"), "near")
             .groupBy("h_node").agg(F.min("near").alias("near"))
         )
-        moved = stored(
+        moved = new.stored(
             labels.join(hooks, F.col("node") == F.col("h_node"), "left").select(
                 "node", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("near").isNotNull().alias("moved")
             )
@@ -43,5 +40,10 @@ def components(links: DataFrame, start: DataFrame | None = None, most_rounds: in
         for _ in range(2):
             up = moved.select(F.col("node").alias("n"), F.col("label").alias("l"))
             moved = moved.join(up, F.col("label") == F.col("n"), "left").select("node", F.coalesce("l", "label").alias("label"))
-        labels = stored(moved)
-    return labels.select("node", "label")
+        labels = new.stored(moved)
+        old.clear()
+        old = new
+    labels = stored(labels.select("node", "label"))
+    for used in (scratch, old, new):
+        used.clear()
+    return labels

@@ -222,13 +222,20 @@ def near_copies(n, seed=1):
 
 @pytest.mark.parametrize("k,num", [(4, 85), (5, 80)])
 def test_jaccard_equals_brute_force(spark, k, num, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "LEAF", 4)
-    texts = near_copies(150)
+    monkeypatch.setattr(jaccard_join, "SMALL", 12)
+    texts = near_copies(120)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_groups(df, k, num, 100).collect()}
     assert got == brute_components(texts, k, num)
 
 
+def test_shared_by_pair_equals_intersections():
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, top, size)) for top, size in ((30, 20), (1000, 60), (12, 9), (1000, 500), (5, 1)) * 12]
+    got = jaccard_join.shared_by_pair(np.repeat(np.arange(60), [len(x) for x in sets]), np.concatenate(sets), 60)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(60) for j in range(60) if i != j)
+
+
 def test_jaccard_on_documents(docs, texts):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_groups(docs, 4, 85, 100).collect()}
     assert got == brute_components(texts, 4, 85)
