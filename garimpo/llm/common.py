@@ -20,10 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder that every executor sees, below the cluster's checkpoint folder.
 
     Where ``spark.checkpoint.dir`` is unset (tests, a single machine) a folder below
-    the warehouse takes its place.
+    the warehouse takes its place; on a cluster that is an error, as the folder may be local.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_garimpo"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -68,9 +70,26 @@ def n_words(text) -> F.Column:
 FEW_ROWS = 1_000_000
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names made from ``names`` that no column of ``df`` has, letter case aside."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns(df: DataFrame) -> list[F.Column]:
+    """All columns by quoted name, whatever characters it has."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def without(docs: DataFrame, dropped: DataFrame, on: dict[str, F.Column]) -> DataFrame:
     """``docs`` without the rows that ``dropped`` names; ``on``: its columns and what equals them, null included."""
-    dropped = stored(dropped.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct())
+    names = fresh(docs, *[f"_{c}" for c in on])
+    dropped = stored(dropped.select(*[F.col(c).alias(name) for c, name in zip(on, names)]).distinct())
     few = F.broadcast(dropped) if dropped.count() <= FEW_ROWS else dropped
-    same = [value.eqNullSafe(F.col(f"_{c}")) for c, value in on.items()]
+    same = [value.eqNullSafe(F.col(name)) for name, value in zip(names, on.values())]
     return docs.join(few, same, "left_anti")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import SPACE, partitions, stored, without
+from garimpo.llm.common import SPACE, columns, fresh, partitions, stored, without
 
 #: Most runs that one hot text is split into.
 MAX_SALTS = 4096
@@ -108,7 +108,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """The input's rows and columns without later copies of a text.
 
     A row stays when its identifier is the smallest of its text's group; of rows that
-    repeat both, one stays.
+    repeat both, one stays.  Other columns may have any names and go with their rows.
     """
     groups = stored(exact_groups(docs, text, doc_id))
     gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
@@ -118,5 +118,6 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     again = groups.filter(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
     if not again.limit(1).count():
         return once
-    same = Window.partitionBy(doc_id, "_sha").orderBy(F.lit(1))
-    return once.withColumn("_sha", sha).withColumn("_row", F.row_number().over(same)).filter("_row = 1").select(*docs.columns)
+    text_sha, place = fresh(docs, "_sha", "_place")
+    same = Window.partitionBy(doc_id, text_sha).orderBy(F.lit(1))
+    return once.withColumn(text_sha, sha).withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1).select(*columns(docs))

@@ -23,11 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import without
+from garimpo.llm.common import fresh, without
 
 BUCKETS = 1 << 15
 #: Labelled rows of each language that the model is fitted on.
 FIT_ROWS = 160
+#: Languages that the model learns at most, the most frequent.
+FIT_LABELS = 200
 #: Words of one training chain; a longer text gives several.
 FIT_WORDS = 400
 #: Longer texts are not drawn for fitting; with FIT_ROWS this bounds what reaches the driver.
@@ -56,7 +58,7 @@ _HEAD, _TAIL, _GRAM, _SHAPE = map(_Hashed, "psgx")
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed features of a lower-cased word: affixes, n-grams, length, lexicon membership."""
     w = f"^{word}$"
-    grams = min(len(w), 25)
+    grams = len(w)
     out = [_HEAD[w[:2]], _HEAD[w[:3]], _HEAD[w[:4]], _TAIL[w[-2:]], _TAIL[w[-3:]], _TAIL[w[-4:]], _SHAPE[f"n{min(len(word), 12)}"]]
     out += [_GRAM[w[i : i + 2]] for i in range(grams - 1)]
     out += [_GRAM[w[i : i + 3]] for i in range(grams - 2)]
@@ -99,7 +101,7 @@ class ChainModel:
             e[: len(x), j] = np.exp(x - x.max(1, keepdims=True))
         a = np.exp(self.trans - self.trans.max())
         live = np.searchsorted(-lengths, -np.arange(t_max), side="left")  # chains longer than t
-        alpha = np.empty_like(e)
+        alpha = np.zeros_like(e)
         for t in range(t_max):
             m = live[t]
             x = e[t, :m] if t == 0 else (alpha[t - 1, :m] @ a) * e[t, :m]
@@ -181,17 +183,21 @@ def train(rows: list[tuple[str, str]], lexicon_size: int = 200, seed: int = 7) -
     return model
 
 
-def sample(docs: DataFrame, fit_rows: int, label: str = "lang", text: str = "text") -> list[tuple[str, str]]:
-    """At most ``fit_rows`` labelled texts of each language, those with the smallest hash of the text."""
-    key = F.xxhash64(F.col(text), F.lit(17))
-    labelled = docs.filter(F.col(label).isNotNull() & (F.length(text) <= FIT_CHARS) & F.col(text).rlike(r"\p{L}"))
+def sample(docs: DataFrame, fit_rows: int, label: str = "lang", text: str = "text", most_labels: int = FIT_LABELS) -> list[tuple[str, str]]:
+    """At most ``fit_rows`` labelled texts of each language, those with the smallest hash of the text.
+
+    Of more than ``most_labels`` languages the most frequent are learned, so what reaches the
+    driver is bounded.
+    """
+    rows = docs.select(F.col(label).cast("string").alias("lab"), F.col(text).cast("string").alias("t"))
+    key = F.xxhash64("t", F.lit(17))
+    labelled = rows.filter(F.col("lab").isNotNull() & (F.length("t") <= FIT_CHARS) & F.col("t").rlike(r"\p{L}"))
     # Many rows cannot meet in one task: a hash threshold first leaves a few times what is needed.
-    rate = labelled.groupBy(label).count().select(F.col(label).alias("_lab"), (F.lit(8.0 * fit_rows) / F.col("count")).alias("_rate"))
-    near = labelled.join(F.broadcast(rate), F.col(label) == F.col("_lab")).filter(
-        F.pmod(key, F.lit(1 << 30)) / float(1 << 30) < F.col("_rate")
-    )
-    first = Window.partitionBy(label).orderBy(key, F.col(text))
-    got = near.select(F.col(text).alias("t"), F.col(label).alias("lab"), F.row_number().over(first).alias("k"))
+    counts = labelled.groupBy("lab").count().orderBy(F.desc("count"), "lab").limit(most_labels)
+    rate = counts.select(F.col("lab").alias("r_lab"), (F.lit(8.0 * fit_rows) / F.col("count")).alias("rate"))
+    near = labelled.join(F.broadcast(rate), F.col("lab") == F.col("r_lab")).filter(F.pmod(key, F.lit(1 << 30)) / float(1 << 30) < F.col("rate"))
+    first = Window.partitionBy("lab").orderBy(key, "t")
+    got = near.select("t", "lab", F.row_number().over(first).alias("k"))
     return [(r["t"], r["lab"]) for r in got.filter(F.col("k") <= fit_rows).select("t", "lab").collect()]
 
 
@@ -230,11 +236,12 @@ class Tagger:
 
 
 def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
-    """``doc_id, lang_pred, score, n_switches`` for every row, and the columns named in ``keep``.
+    """``doc_id, lang_pred, score, certainty, n_switches`` for every row, and the columns named in ``keep``.
 
     ``und`` with score 0 where the text is null or has no letter.  ``score`` is the mean
-    marginal of the predicted language; ``n_switches`` counts changes of the likeliest label
-    from word to word.
+    marginal of the predicted language, ``certainty`` the mean of every word's largest one;
+    ``n_switches`` counts changes of the likeliest label from word to word.  Ties go to the
+    language that sorts first.  Texts of any length are labelled whole, the longest alone.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -247,17 +254,17 @@ def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: s
                 out = []
                 for m in tagger.tag(list(part["_text"])) if labels else [None] * len(part):
                     if m is None:
-                        out.append((UND, 0.0, 0))
+                        out.append((UND, 0.0, 0.0, 0))
                         continue
                     mean, best = m.mean(0), m.argmax(1)
                     i = int(mean.argmax())
-                    out.append((labels[i], float(min(1.0, max(0.0, mean[i]))), int((best[1:] != best[:-1]).sum())))
-                got = pd.DataFrame(out, columns=["lang_pred", "score", "n_switches"], index=part.index)
+                    out.append((labels[i], float(min(1.0, max(0.0, mean[i]))), float(min(1.0, m.max(1).mean())), int((best[1:] != best[:-1]).sum())))
+                got = pd.DataFrame(out, columns=["lang_pred", "score", "certainty", "n_switches"], index=part.index)
                 yield pd.concat([part.drop(columns="_text"), got], axis=1)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).cast("string").alias("_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return rows.mapInPandas(run, f"{types}, lang_pred string, score double, n_switches long")
+    return rows.mapInPandas(run, f"{types}, lang_pred string, score double, certainty double, n_switches long")
 
 
 def held_out(doc_id) -> F.Column:
@@ -269,7 +276,7 @@ def language_id(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 
     Only text and non-null ``lang`` of documents with crc32(doc_id) mod 4 other than 2 are
     learned from.  A table without labelled rows gives ``und`` for all.  A null identifier
-    is not held out.
+    is not held out; rows that repeat one are rows of their own.
     """
     rows = sample(docs.filter(~held_out(F.col("doc_id"))), fit_rows)
     found = identify(docs, train(rows))
@@ -277,9 +284,15 @@ def language_id(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, fit_rows: int = FIT_ROWS, least: float = 0.5) -> DataFrame:
-    """The rows whose language is told: not ``und``, and a mean marginal of ``least`` or more."""
-    h = F.xxhash64("text")
+    """The rows whose language is told: not ``und``, and a certainty of ``least`` or more.
+
+    Certainty is the mean over words of each word's largest marginal, so clean text that
+    switches between languages stays, whatever share each of them has.  Other columns may
+    have any names.
+    """
+    (name,) = fresh(docs, "_h")
+    h = F.xxhash64(F.col("text").cast("string"))
     model = train(sample(docs.filter(~held_out(F.col("doc_id"))), fit_rows))
-    found = identify(docs.withColumn("_h", h), model, keep=("_h",))
-    gone = found.filter((F.col("lang_pred") == UND) | (F.col("score") < least)).withColumnRenamed("_h", "h")
+    found = identify(docs.select("doc_id", "text", h.alias(name)), model, keep=(name,))
+    gone = found.filter((F.col("lang_pred") == UND) | (F.col("certainty") < least)).select("doc_id", F.col(name).alias("h"))
     return without(docs, gone, {"doc_id": F.col("doc_id"), "h": h})

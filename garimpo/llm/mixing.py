@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import FEW_ROWS, n_words, stored
+from garimpo.llm.common import FEW_ROWS, columns, fresh, n_words, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -153,14 +153,15 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as :func:`mix` takes it.
 
     Rows that repeat identifier, source and size are taken alike, as often as the first of them.
+    Other columns may have any names.
     """
     found = mix(docs, **options).select("doc_id", "source", "size", "n_taken")
-    plan = stored(found.groupBy("doc_id", "source", "size").agg(F.max("n_taken").alias("n_taken")).filter("n_taken > 0")).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "n_taken"
-    )
+    of, source, size, times, copy = fresh(docs, "_id", "_source", "_size", "_times", "_copy")
+    plan = stored(found.groupBy("doc_id", "source", "size").agg(F.max("n_taken").alias("n_taken")).filter("n_taken > 0"))
+    plan = plan.select(F.col("doc_id").alias(of), F.col("source").alias(source), F.col("size").alias(size), F.col("n_taken").alias(times))
     plan = F.broadcast(plan) if plan.count() <= FEW_ROWS else plan
-    on = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("source").eqNullSafe(F.col("_source")), n_words(F.col("text")) == F.col("_size")]
-    return docs.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n_taken")))).select(*[docs[c] for c in docs.columns])
+    on = [F.col("doc_id").eqNullSafe(F.col(of)), F.col("source").cast("string").eqNullSafe(F.col(source)), n_words(F.col("text")) == F.col(size)]
+    return docs.join(plan, on).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*columns(docs))
 
 
 ORACLE = r"""

@@ -69,8 +69,8 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)] if n else []
 
 
-def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32``; null text counts as empty."""
+def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe()
@@ -82,14 +82,15 @@ def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = EN
                 if ids.itemsize != 4 or np.little_endian is False:
                     ids = np.asarray(ids, "<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
-                    out.append((doc, k, start, length, zlib.crc32(memoryview(ids)[start : start + length].tobytes())))
-            cols = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+                    own = ids[start : start + length] if with_ids else None
+                    out.append((doc, k, start, length, zlib.crc32(memoryview(ids)[start : start + length].tobytes()), own))
+            cols = list(zip(*out)) if out else [[]] * 6
+            arrays = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            if with_ids:
+                arrays.append(pa.array([list(x) for x in cols[5]], pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"{PIECES}, ids array<int>" if with_ids else PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +149,12 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, group_
     piece with the end id alone; a row with a null identifier and rows that repeat one are
     packed like others.  An empty table gives no pieces.
     """
-    pieces = stored(tokenised_pieces(docs, capacity, end_id).withColumn("item", F.uuid()))
+    return _placed(tokenised_pieces(docs, capacity, end_id), capacity, group_rows).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def _placed(pieces: DataFrame, capacity: int, group_rows: int) -> DataFrame:
+    """The pieces, each a row of its own whatever its identifier, with ``sequence_id, offset``."""
+    pieces = stored(pieces.withColumn("item", F.uuid()))
     items = pieces.filter(F.col("length") < capacity).select(
         "item", "length", F.xxhash64("doc_id", "piece", "ids_crc32").alias("h")
     )
@@ -164,30 +170,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, group_
         items = packed.filter(F.col("filled") < capacity).select("item", "length", "h")
         level, groups = level + 1, max(1, -(-items.count() // group_rows))
     where = reduce(DataFrame.unionByName, parts).select("item", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     whole = pieces.filter(F.col("length") >= capacity).withColumns(
         {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}
     )
-    return pieces.join(where, "item").select(*out).unionByName(whole.select(*out))
+    return pieces.join(where, "item").unionByName(whole)
 
 
-def sequences(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The packed sequences themselves: ``sequence_id, n_tokens, ids`` (padding is left to the reader)."""
-    packed = pack(docs, capacity)
-    spans = packed.groupBy("doc_id").agg(F.collect_list(F.struct("piece", "start", "length", "sequence_id", "offset")).alias("cuts"))
+def sequences(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The packed sequences themselves: ``sequence_id, n_tokens, ids`` (padding is left to the reader).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = byte_bpe()
-        for pdf in batches:
-            out = []
-            for text, cuts in zip(pdf["text"], pdf["cuts"]):
-                ids = [*encode(text or ""), END_ID]
-                out += [(c["sequence_id"], c["offset"], ids[c["start"] : c["start"] + c["length"]]) for c in cuts]
-            yield pd.DataFrame(out, columns=["sequence_id", "offset", "ids"])
-
-    parts = docs.select("doc_id", "text").dropDuplicates(["doc_id"]).join(spans, "doc_id").select("text", "cuts").mapInPandas(
-        run, "sequence_id long, offset long, ids array<int>"
-    )
+    Every row's ids are in them once, also of rows with null or repeated identifiers.
+    """
+    parts = _placed(tokenised_pieces(docs, capacity, end_id, with_ids=True), capacity, group_rows)
     by_offset = parts.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
     return by_offset.select(
         "sequence_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids")

@@ -371,10 +371,11 @@ def kept_texts(docs: DataFrame, length: int = LENGTH, k: int = GRAM) -> DataFram
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     ))
-    firsts = ids.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("sha", "f_sha")
-    judged = stored(
-        ids.join(firsts, F.col("sha") == F.col("f_sha"), "left").select(*ROW, "n_bytes", "sha", (F.col("doc_id") > F.col("first_id")).alias("copy"))
-    )
+    # Only texts that several documents have are looked up; one with very many of them is no hot key, as these are few rows.
+    firsts = ids.filter(F.col("n_bytes") >= length).groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    firsts = stored(firsts.filter("first_id < last_id").select(F.col("sha").alias("f_sha"), "first_id"))
+    few = F.broadcast(firsts) if firsts.count() <= FEW_ROWS else firsts
+    judged = stored(ids.join(few, F.col("sha") == F.col("f_sha"), "left").select(*ROW, "n_bytes", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)).alias("copy")))
     # What a whole copy holds, the smaller document holds too: it is neither searched nor searched against.
     singles = _picked(texts, judged.filter("copy").select(*ROW).distinct(), "left_anti").select("doc_id", "text", "row")
     found = stored(repeated_hashes(singles, length, k, n * PLACES // 4))

@@ -5,67 +5,88 @@ index) and, for every component, its largest and smallest value.  A block's boun
 query is the sum over components of the larger product with those two.  A query visits
 blocks by falling bound and stops when the next bound lies below its kth score.
 
-Queries and blocks are dealt as a grid: a cell holds a bounded number of queries and of
-blocks, so no task sees all queries or all rows, and the cells' lists of k are merged.
+Blocks lie in bands, ranges of rows of a bounded number, and queries in groups; a cell of this
+grid is one task.  Bounds act across cells as well: a query first visits the band with the
+largest bound, and then, with the kth score from there, only bands that can still beat it.
+The lists of its bands are merged.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from garimpo.llm.common import partitions
+from garimpo.llm.common import Scratch, partitions, stored
 
 BLOCK_ROWS = 256
 #: Rows and queries of one cell of the grid.
 CELL_ROWS = 16_384
 CELL_QUERIES = 1_024
-#: Largest whole number whose product sums are taken in 64-bit integers.
-SAFE = 1 << 26
-#: Below every score; its negative is a 64-bit integer too.
+#: Bytes of all bands' bounds up to which they are broadcast; beyond, every query visits every band.
+BOUND_BYTES = 64 << 20
+#: Below every score of the 64-bit path; its negative is a 64-bit integer too.
 NONE = -(1 << 62)
+#: Scores travel as two longs, ``hi * 2**PART + lo``, as they may need more than 64 bits.
+PART = 62
+LAST = np.iinfo(np.int64).max
+FOUND = "query bigint, query_id bigint, vec_id bigint, hi bigint, lo bigint"
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
-    """``vec_id, v``: floor(scale * x) of every component; rows with null, NaN or infinite parts are left out.
+    """``vec_id, v``: floor(scale * x) of every component, as doubles; no component is held within limits.
 
-    Components are held between -2**26 and 2**26, beyond which scores would leave 64 bits.
+    Rows with null, NaN or infinite parts are left out, and so are doubles that only the
+    product with ``scale`` makes infinite.
     """
-    x = F.col(embedding)
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    whole = F.transform(
-        x, lambda c: F.greatest(F.lit(-float(SAFE)), F.least(F.lit(float(SAFE)), F.floor(c.cast("double") * scale).cast("double"))).cast("int")
-    )
-    return vectors.filter(x.isNotNull() & F.col(vec_id).isNotNull() & ~F.coalesce(bad, F.lit(True))).select(
+    scaled = F.transform(F.col(embedding), lambda c: c.cast("double") * scale)
+    bad = F.exists(scaled, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    # From 2**53 on doubles are whole, and floor() would leave 64 bits.
+    whole = F.transform(scaled, lambda c: F.when(F.abs(c) < float(1 << 53), F.floor(c).cast("double")).otherwise(c))
+    return vectors.filter(F.col(embedding).isNotNull() & F.col(vec_id).isNotNull() & ~F.coalesce(bad, F.lit(True))).select(
         F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v")
     )
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width), np.int64)
+    out = np.zeros((len(rows), width))
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
     return out
 
 
+def _listed(query: np.ndarray, qid: np.ndarray, vec_id: np.ndarray, scores: list[int]) -> pd.DataFrame:
+    hi = [max(-(1 << 63), min((1 << 63) - 1, s >> PART)) for s in scores]
+    lo = [s & ((1 << PART) - 1) for s in scores]
+    return pd.DataFrame({c: np.array(x, np.int64) for c, x in zip(("query", "query_id", "vec_id", "hi", "lo"), (query, qid, vec_id, hi, lo))})
+
+
 def best_of_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int, block_rows: int) -> tuple[pd.DataFrame, int]:
-    """The k best rows of a cell for each query, and how many (query, block) pairs were scored."""
-    empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+    """The k best rows of a cell for each query, and how many (query, block) pairs were scored.
+
+    Both frames have ``row, vec_id, v``; a query is no candidate of its own row.
+    """
     if not len(queries) or not len(rows):
-        return empty, 0
-    width = max(queries["v"].map(len).max(), rows["v"].map(len).max())
-    rows = rows.sort_values("vec_id", kind="stable")
-    ids, m = rows["vec_id"].to_numpy(np.int64), _matrix(rows["v"], width)
+        return _listed(*[np.empty(0, np.int64)] * 3, []), 0
+    width = max(1, queries["v"].map(len).max(), rows["v"].map(len).max())
+    rows = rows.sort_values(["vec_id", "row"], kind="stable")
+    ids, own, m = rows["vec_id"].to_numpy(np.int64), rows["row"].to_numpy(np.int64), _matrix(rows["v"], width)
+    q, qid, qrow = _matrix(queries["v"], width), queries["vec_id"].to_numpy(np.int64), queries["row"].to_numpy(np.int64)
+    most = float(np.abs(q).max()) * float(np.abs(m).max()) * width
+    if most >= 1 << 61:
+        return _best_of_wide(q, qid, qrow, m, ids, own, k), len(q)
     starts = np.arange(0, len(ids), block_rows)
+    if most >= 1 << 52:  # products of doubles are exact below
+        q, m = q.astype(np.int64), m.astype(np.int64)
     hi, lo = np.maximum.reduceat(m, starts), np.minimum.reduceat(m, starts)
-    q, qid = _matrix(queries["v"], width), queries["vec_id"].to_numpy(np.int64)
-    bounds = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+    bounds = (np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T).astype(np.int64)
     order = np.argsort(-bounds, axis=1, kind="stable")
     n = len(q)
     best_score = np.full((n, k), NONE)
-    best_id = np.full((n, k), np.iinfo(np.int64).max)
+    best_id = np.full((n, k), LAST)
     live, scored = np.arange(n), 0
     for step in range(len(starts)):
         block = order[live, step]
@@ -77,17 +98,33 @@ def best_of_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int, block_rows:
         for b in np.unique(block):
             who = live[block == b]
             part = slice(starts[b], starts[b] + block_rows)
-            score = q[who] @ m[part].T
-            own = qid[who][:, None] == ids[part][None, :]
-            score[own] = NONE
+            score = (q[who] @ m[part].T).astype(np.int64)
+            score[qrow[who][:, None] == own[part][None, :]] = NONE
             every = np.concatenate([best_score[who], score], 1)
             names = np.concatenate([best_id[who], np.broadcast_to(ids[part], score.shape)], 1)
-            names = np.where(every == NONE, np.iinfo(np.int64).max, names)
+            names = np.where(every == NONE, LAST, names)
             first = np.lexsort((names, -every), axis=1)[:, :k]
             best_score[who] = np.take_along_axis(every, first, 1)
             best_id[who] = np.take_along_axis(names, first, 1)
     found = best_score > NONE
-    return pd.DataFrame({"query_id": np.repeat(qid, k)[found.ravel()], "vec_id": best_id[found], "score": best_score[found]}), scored
+    of = np.repeat(np.arange(n), k)[found.ravel()]
+    return _listed(qrow[of], qid[of], best_id[found], best_score[found].tolist()), scored
+
+
+def _best_of_wide(q, qid, qrow, m, ids, own, k: int) -> pd.DataFrame:
+    """The same for components whose products leave 64 bits, in whole numbers of any length."""
+    rows, out = [[int(x) for x in r] for r in m], []
+    for i in range(len(q)):
+        one = [int(x) for x in q[i]]
+        scores = ((-sum(a * b for a, b in zip(one, r)), int(ids[j])) for j, r in enumerate(rows) if own[j] != qrow[i])
+        out += [(qrow[i], qid[i], d, -s) for s, d in heapq.nsmallest(k, scores)]
+    cols = list(zip(*out)) if out else [()] * 4
+    return _listed(*[np.array(c, np.int64) for c in cols[:3]], list(cols[3]))
+
+
+def band_bounds(rows: DataFrame) -> DataFrame:
+    """``band, i, hi, lo``: the largest and smallest value of every component in a band."""
+    return rows.select("band", F.posexplode("v").alias("i", "c")).groupBy("band", "i").agg(F.max("c").alias("hi"), F.min("c").alias("lo"))
 
 
 def top_k(
@@ -104,33 +141,88 @@ def top_k(
 
     Scores are inner products of the quantised vectors; ties go to the smaller ``vec_id``;
     a query is no candidate of its own.  Vectors of different lengths are compared as if
-    the shorter one ended in zeros.  Of rows that repeat a ``vec_id`` one counts, the one
-    with the smallest vector.  An empty table gives no rows.
+    the shorter one ended in zeros, so an empty one scores 0 with all.  Rows that repeat a ``vec_id``
+    are rows of their own, candidates of each other and, where they are queries, with a list each.
+    Ranks follow whole scores; one beyond 64 bits is returned as the largest or smallest long.  An
+    empty table gives no rows.
     """
-    spark = vectors.sparkSession
-    rows = quantised(vectors, vec_id, embedding).groupBy("vec_id").agg(F.min("v").alias("v"))
-    n = max(1, rows.count())
-    bands = max(partitions(spark), -(-n // cell_rows)) if n > 4096 else 1
+    scratch = Scratch(vectors.sparkSession)
+    rows = scratch.stored(quantised(vectors, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()))
+    n = rows.count()
+    bands = max(partitions(vectors.sparkSession), -(-n // cell_rows)) if n > min(4096, cell_rows) else 1
     groups = max(1, -(-n // (every * cell_queries)))
-    # Ranges of identifiers: exact rank bounds are not needed, a cell only has to be bounded.
-    low, high = rows.agg(F.min("vec_id"), F.max("vec_id")).first()
-    low, width = low or 0, max(1, -(-((high or 0) - (low or 0) + 1) // bands))
-    band = F.least(F.lit(bands - 1), F.floor((F.col("vec_id") - low) / F.lit(width))).cast("int")
-    data = rows.withColumn("band", band).select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
-    asked = rows.filter(F.col("vec_id") % every == 0).withColumn(
-        "grp", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")
-    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
-
-    def cell(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        return best_of_cell(q, d, k, block_rows)[0]
-
-    found = asked.groupBy("grp", "band").cogroup(data.groupBy("grp", "band")).applyInPandas(
-        cell, "query_id long, vec_id long, score long"
-    )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    # Ranges of rows, of sampled splitters: gaps between identifiers and repeated ones don't matter.
+    rows = scratch.stored(rows.repartitionByRange(bands, "vec_id", "row").withColumn("band", F.spark_partition_id()))
+    in_all = F.sequence(F.lit(0), F.lit(groups - 1))
+    data = rows.select("band", "row", "vec_id", "v", F.explode(in_all).alias("grp"))
+    asked = rows.filter(F.col("vec_id") % every == 0).select(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("grp"), "row", "vec_id", "v")
+    near = scratch.stored(band_bounds(rows)).toPandas() if bands * _longest(rows) * 16 <= BOUND_BYTES else None
+
+    def visited(queries: DataFrame) -> DataFrame:
+        named = queries.select(F.col("grp").alias("q_grp"), F.col("band").alias("q_band"), F.col("row").alias("q_row"), F.col("vec_id").alias("q_id"), F.col("v").alias("q_v"))
+
+        def cell(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+            return best_of_cell(q.rename(columns={"q_row": "row", "q_id": "vec_id", "q_v": "v"}), d, k, block_rows)[0]
+
+        return named.groupBy("q_grp", "q_band").cogroup(data.groupBy("grp", "band")).applyInPandas(cell, FOUND)
+
+    if near is None or not len(near):
+        found = visited(asked.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(_bands(rows) - 1)))))
+    else:
+        bound = _bounds_of(near)
+        first = scratch.stored(visited(_banded(asked, bound, None)))
+        kth = first.groupBy("query").agg(F.array_sort(F.collect_list((F.col("hi") * float(1 << PART) + F.col("lo").cast("double")))).alias("s"))
+        kth = scratch.stored(kth.select("query", F.when(F.size("s") >= k, F.col("s")[0]).otherwise(F.lit(float("-inf"))).alias("kth")))
+        rest = asked.join(kth, F.col("row") == F.col("query"), "left").select("grp", "row", "vec_id", "v", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
+        found = first.unionByName(visited(_banded(rest, bound, "kth")))
+    best = Window.partitionBy("query").orderBy(F.col("hi").desc(), F.col("lo").desc(), "vec_id")
+    score = F.when(F.col("hi") > 1, F.lit(LAST)).when(F.col("hi") < -2, F.lit(-LAST - 1)).otherwise(F.shiftleft("hi", PART) + F.col("lo"))
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
+    ranked = stored(ranked)
+    scratch.clear()
+    return ranked
+
+
+def _longest(rows: DataFrame) -> int:
+    return rows.agg(F.max(F.size("v"))).first()[0] or 0
+
+
+def _bands(rows: DataFrame) -> int:
+    return 1 + (rows.agg(F.max("band")).first()[0] or 0)
+
+
+def _bounds_of(near: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bands, hi, lo) as matrices; where a band has shorter vectors, the zeros they end in count too."""
+    bands, at = np.unique(near["band"].to_numpy(), return_inverse=True)
+    hi, lo = np.zeros((2, len(bands), int(near["i"].max()) + 1))
+    hi[at, near["i"]], lo[at, near["i"]] = near["hi"], near["lo"]
+    return bands, np.maximum(hi, 0), np.minimum(lo, 0)
+
+
+def _banded(asked: DataFrame, bound: tuple, kth: str | None) -> DataFrame:
+    """Queries with the band of the largest bound or, given a kth score, with every other band that may reach it."""
+    sent = asked.sparkSession.sparkContext.broadcast(bound)  # BOUND_BYTES at most
+
+    def run(batches):
+        bands, hi, lo = sent.value
+        for pdf in batches:
+            for s in range(0, len(pdf), 256):
+                part = pdf.iloc[s : s + 256]
+                q = _matrix(part["v"], max(hi.shape[1], part["v"].map(len).max()))[:, : hi.shape[1]]
+                top = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
+                home = top.argmax(1)
+                go = np.zeros(top.shape, bool)
+                if kth is None:
+                    go[np.arange(len(part)), home] = True
+                else:
+                    slack = 1e-9 * (np.abs(q) @ np.maximum(hi, -lo).T)  # doubles round sums
+                    least = part[kth].to_numpy()[:, None]
+                    go = top + slack >= least - 1e-9 * np.abs(least)
+                    go[np.arange(len(part)), home] = False
+                who, band = np.nonzero(go)
+                yield pd.DataFrame({"grp": part["grp"].to_numpy()[who], "row": part["row"].to_numpy()[who], "vec_id": part["vec_id"].to_numpy()[who], "v": part["v"].to_numpy()[who], "band": bands[band]})
+
+    return asked.mapInPandas(run, "grp int, row long, vec_id long, v array<double>, band int")
 
 
 ORACLE = """

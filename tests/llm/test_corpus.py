@@ -1,6 +1,8 @@
 """The corpus operators against brute force, and their edge rows."""
 
+import functools
 import hashlib
+import math
 import random
 import re
 import sys
@@ -102,11 +104,16 @@ def test_targets_stop_at_three_times(spark):
 # Packing ------------------------------------------------------------------------------------
 
 
-def encode(text):
+@functools.cache
+def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text or "", add_special_tokens=False).ids + [2]
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def encode(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def check_packing(got, texts):
@@ -138,6 +145,17 @@ def test_packing_edges(edge):
     assert packing.pack(edge.limit(0)).count() == 0
 
 
+def test_sequences_hold_every_row_once(spark, edge):
+    rows = [(5, "first text of five"), (5, "other text of five"), (None, "no identifier"), (None, None), (5, "first text of five"), (6, LONG)]
+    got = packing.sequences(spark.createDataFrame(rows, "doc_id long, text string"), group_rows=3).collect()
+    assert all(r.n_tokens == len(r.ids) <= 1024 for r in got)
+    assert sorted(x for r in got for x in r.ids) == sorted(x for _, t in rows for x in encode(t))
+    found = Counter(part for r in got for part in f" {' '.join(map(str, r.ids))} ".split(" 2 "))
+    for _, t in rows[:3]:
+        assert found[" ".join(map(str, encode(t)[:-1]))] + found[" " + " ".join(map(str, encode(t)[:-1]))] >= 1
+    assert packing.sequences(edge.limit(0)).count() == 0
+
+
 def test_fast_ids_equal_the_tokenizer():
     rnd, fast = random.Random(5), packing.byte_bpe()
     pools = ["abc XYZ 12 \n\t.,'séßł", "a  \u0085\x1c 中\U0001f600<|endoftext|>", "̀ǅ ' 't 'll\r\n  "]
@@ -170,11 +188,50 @@ def test_topk_edges_and_brute_force(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def brute_topk(rows, k, every):
+    """Whole-number scores of every row with every query row; ranks follow them, results stay within 64 bits."""
+    v = [(d, [math.floor(256 * x) for x in e]) for d, e in rows]
+    out = []
+    for i, (q, a) in enumerate(v):
+        if q % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), d) for j, (d, b) in enumerate(v) if j != i)[:k]
+            out += [(q, n + 1, d, max(-(1 << 63), min((1 << 63) - 1, -s))) for n, (s, d) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["huge", "wide", "repeated", "sparse", "lengths"])
+def test_topk_of_unusual_rows(spark, kind):
+    rnd = random.Random(kind)
+    some = lambda n, top=1.0: [rnd.uniform(-top, top) for _ in range(n)]
+    rows = {
+        "huge": [(1, [1e6, 1.0]), (2, [1e6, 0.0]), (50, [2e6, 0.0]), (4, [-3e5, 2.0])],
+        "wide": [(i, some(3, 10.0 ** rnd.randint(0, 15))) for i in range(60)],
+        "repeated": [(rnd.choice((0, 3, 50, 51)), some(4)) for _ in range(80)],
+        "sparse": [(i, some(4)) for i in range(90)] + [(10**15, some(4)), (-(10**12), some(4))],
+        "lengths": [(i, some(rnd.randint(0, 5))) for i in range(70)],
+    }[kind]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for options in ({}, {"cell_rows": 16, "cell_queries": 1, "block_rows": 4}):
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, k=5, **options).collect())
+        assert got == brute_topk(rows, 5, 50)
+
+
+def test_topk_bands_hold_a_bounded_number_of_rows(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") == 0, 10**15).otherwise(F.when(F.col("id") < 700, 7).otherwise(F.col("id"))).alias("vec_id"), F.array(F.rand(3)).alias("embedding"))
+    seen = []
+    whole, topk.band_bounds = topk.band_bounds, lambda rows: (seen.append(rows.groupBy("band").count().toPandas()["count"].max()), whole(rows))[1]
+    try:
+        topk.top_k(rows, cell_rows=250).collect()
+    finally:
+        topk.band_bounds = whole
+    assert seen[0] <= 600
+
+
 def test_topk_prunes():
     import pandas as pd
 
-    rows = pd.DataFrame({"vec_id": range(1000), "v": [[i, 1] for i in range(1000)]})
-    _, scored = topk.best_of_cell(pd.DataFrame({"vec_id": [0], "v": [[5, 0]]}), rows, 5, 50)
+    rows = pd.DataFrame({"row": range(1000), "vec_id": range(1000), "v": [[i, 1] for i in range(1000)]})
+    _, scored = topk.best_of_cell(pd.DataFrame({"row": [-1], "vec_id": [0], "v": [[5, 0]]}), rows, 5, 50)
     assert scored <= 2
 
 
@@ -437,6 +494,20 @@ def test_switched_text_is_labelled_word_by_word(docs):
     assert (best[:30] == model.labels.index("de")).mean() > 0.9 and (best[-30:] == model.labels.index("es")).mean() > 0.9
 
 
+def test_clean_switched_text_stays(spark, docs):
+    rows = {lab: [r.text for r in docs.filter(F.col("lang") == lab).limit(40).collect() if len(r.text.split()) > 60] for lab in ("de", "es", "fr", "en")}
+    langs = [lab for lab, t in rows.items() if t][:3]
+    switched = [(10**6 + i, " ".join(" ".join(rows[lab][0].split()[:30]) for lab in langs[:n])) for i, n in enumerate((2, 3))]
+    extra = spark.createDataFrame([(i, t, None, "x", len(t)) for i, t in switched], docs.schema)
+    kept = {r.doc_id for r in langid.keep_identified(docs.unionByName(extra)).filter("doc_id >= 1000000").collect()}
+    assert kept == {i for i, _ in switched}
+
+
+def test_features_are_taken_from_whole_words():
+    long = "a" * 30 + "xyz"
+    assert set(langid.features(long, {})) != set(langid.features("a" * 33, {})) and langid._GRAM["yz$"] in langid.features(long, {})
+
+
 def test_forward_backward_equals_enumeration():
     import itertools
 
@@ -472,6 +543,29 @@ def test_resampling_prefers_good_documents(spark, sf_dir, docs):
     assert kept[1] > 0.9 > 0.5 > kept[0]
 
 
+def test_resampling_equals_brute_force(spark):
+    """Kept rows against an own count of the models, over repeated rows, ties, nulls and a very long text."""
+    rnd = random.Random(11)
+    word = lambda: rnd.choice("good fine clear text bad noise junk spam a b c d e f".split())
+    rows = [(i, " ".join(word() for _ in range(rnd.randint(0, 30)))) for i in range(150)]
+    rows += [(3, rows[3][1]), (3, "another text of three"), (None, None), (None, "no identifier"), (None, "no identifier"), (200, LONG)]
+    good = {i: int(rows[i][1].count("good") + rows[i][1].count("clear") > 2) for i in range(0, 150, 2)}
+    marks = spark.createDataFrame([*good.items(), (200, 1), (7, None), (None, 1)], "doc_id long, quality int")
+    got = quality.resample(spark.createDataFrame(rows, "doc_id long, text string"), marks).collect()
+    cache = quality.WordHashes()
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(quality.grams(t, cache).tolist())
+        if good.get(d) or d == 200:
+            target.update(quality.grams(t, cache).tolist())
+    p = lambda c, g: math.log((c[g] + 1) / (sum(c.values()) + quality.BUCKETS))
+    want = sorted((d is None, d or 0, round(sum(p(target, g) - p(raw, g) for g in quality.grams(t, cache).tolist()), 6)) for d, t in rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0, round(r.log_weight, 6)) for r in got) == want
+    k = int(len(rows) * (sum(good.values()) + 1) / (len(good) + 1))
+    assert sum(r.kept for r in got) == k
+    assert min(r.gumbel_key for r in got if r.kept) >= max(r.gumbel_key for r in got if not r.kept)
+
+
 def test_resampling_keeps_k(spark):
     rows = spark.range(500).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.col("id") / 7).alias("key"))
     for k in (1, 100, 250, 499):
@@ -488,6 +582,35 @@ def test_resampling_edges(spark, edge):
 # Pipeline ------------------------------------------------------------------------------------------
 
 
+CLASH = ["_id", "_doc_id", "_sha", "_h", "n_taken", "_source", "_size", "_text_sha256", "_place", "_lab", "node", "key", "a.b"]
+
+
+@pytest.fixture(scope="module")
+def clash(edge):
+    return edge.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASH])
+
+
+def test_stages_keep_columns_of_any_name(clash):
+    rows = [clash, clash.limit(0)]
+    for df in rows:
+        for f in (langid.keep_identified, exact_dedup.exact_dedup, jaccard_join.keep_one, mixing.mixed):
+            got = f(df)
+            assert got.columns == df.columns, f.__name__
+            assert all(r[c] == f"own {c}" for r in got.collect() for c in CLASH), f.__name__
+
+
+def test_pipeline_of_edge_tables(spark, clash, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    labelled = [(100 + i, " ".join(random.Random(i).sample(pool, 8)), lang, "a", 0, 1, "x", *[f"own {c}" for c in CLASH]) for i in range(20)
+                for lang, pool in (("en", "the of and to in is that for it was with".split()), ("de", "der die und das ist nicht mit von auf ein".split()))]
+    for name, rows in (("edge", clash.unionByName(spark.createDataFrame(labelled, clash.schema))), ("none", clash.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").toPandas()
+        assert list(got.columns) == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+        assert (len(got) > 0) == (name == "edge")
+        assert not len(got) or (got.groupby("sequence_id").length.sum() <= 1024).all()
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rows, last = docs, None
