@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column
@@ -38,10 +39,32 @@ def clean_html(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"^[\s\x{00a0}]+|[\s\x{00a0}]+$", "")
 
 
+def unescape(s: Column) -> Column:
+    """Character references decoded once: decimal, hexadecimal and the named ones of HTML 4, each with its semicolon."""
+    name = lambda part: F.regexp_extract(part, "^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+    char = lambda code: F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def decoded(part: Column) -> Column:
+        n = name(part)
+        digits = F.when(n.rlike("^#[xX]"), F.conv(F.substring(n, 3, 10), 16, 10)).when(n.startswith("#"), F.substring(n, 2, 10)).cast("long")
+        usable = digits.between(1, 0xD7FF) | digits.between(0xE000, 0x10FFFF)
+        out = F.when(usable, char(digits)).otherwise(F.when(n == "apos", "'").otherwise(F.element_at(named, n)))
+        return F.when(out.isNotNull(), F.concat(out, F.substr(part, F.length(n) + 3))).otherwise(part)
+
+    named = F.create_map(*[F.lit(x) for k, v in sorted(name2codepoint.items()) for x in (k, chr(v))])
+    return F.when(F.contains(s, F.lit("&")), F.array_join(F.transform(F.split(s, "(?=&)"), decoded), "")).otherwise(s)
+
+
 def clean_text(s: Column) -> Column:
-    """Lower case without tags, punctuation and repeated spaces; a backslash stays."""
-    bare = F.regexp_replace(F.lower(F.regexp_replace(s, "<[^>]+>", "")), PUNCTUATION, "")
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    """Lower case without tags, punctuation and repeated spaces; a backslash stays.
+
+    Texts between tags are joined by a space, as are those around comments, scripts and
+    styles, which go whole; character references are decoded.
+    """
+    seen = F.regexp_replace(s, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->", " ")
+    flat = unescape(F.regexp_replace(seen, r"</?[A-Za-z][^>]*>|<[!?][^>]*>", " "))
+    bare = F.regexp_replace(F.lower(flat), PUNCTUATION, "")
+    return F.trim(F.regexp_replace(bare, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def fold(s: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Reuse of earlier collections: a request equal to a stored one gets its records."""
+"""Reuse of earlier collections: a request whose settings a stored one has all of gets its records."""
 
 from __future__ import annotations
 
@@ -11,8 +11,7 @@ FLAGS = ("no_cache", "use_cache")
 
 def canonical(config: Column) -> Column:
     """One text for a map of settings, whatever the order of its keys; flags and NULL values set aside."""
-    kept = F.map_filter(config, lambda k, v: ~k.isin(*FLAGS) & v.isNotNull())
-    return F.to_json(F.array_sort(F.map_entries(kept)))
+    return F.to_json(F.array_sort(F.map_entries(settings(config))))
 
 
 def config_hash(config: Column) -> Column:
@@ -23,16 +22,44 @@ def flag(config: Column, name: str, default: bool) -> Column:
     return F.coalesce(F.lower(config[name]) == "true", F.lit(default))
 
 
+def settings(config: Column) -> Column:
+    """A map of settings without flags and NULL values."""
+    return F.map_filter(config, lambda k, v: ~k.isin(*FLAGS) & v.isNotNull())
+
+
+def holding(asked: DataFrame, configs: DataFrame) -> DataFrame:
+    """``hash, collect_id``: for each distinct request (``hash, config``) the earliest stored config that has all its settings.
+
+    The rarest setting of a request proposes configs, whole maps decide; a request without
+    settings is held by every config.
+    """
+    known = configs.select("collect_id", settings(F.col("config")).alias("has"))
+    known = known.groupBy(canonical(F.col("has")).alias("c")).agg(F.min("collect_id").alias("collect_id"), F.first("has").alias("has")).drop("c")
+    entry = lambda e: F.to_json(F.struct(e["key"], e["value"]))
+    index = known.select("collect_id", "has", F.explode(F.transform(F.map_entries("has"), entry)).alias("s"))
+    often = index.groupBy("s").agg(F.count("*").alias("n"))
+    each = asked.select("hash", "config", F.explode(F.transform(F.map_entries("config"), entry)).alias("s"))
+    # A setting that no config has is the rarest of all: nothing holds the request.
+    rare = each.join(often, "s", "left").groupBy("hash").agg(F.min_by("s", F.struct(F.coalesce("n", F.lit(0)), F.col("s"))).alias("s"), F.first("config").alias("config"))
+    held = rare.join(index, "s").filter(F.forall(F.map_entries("config"), lambda e: F.element_at(F.col("has"), e["key"]) == e["value"]))
+    first = configs.agg(F.min("collect_id").alias("collect_id")).filter("collect_id is not null")
+    free = asked.filter(F.size("config") == 0).select("hash").join(F.broadcast(first))  # one row
+    return held.groupBy("hash").agg(F.min("collect_id").alias("collect_id")).unionByName(free)
+
+
 def lookup(requests: DataFrame, configs: DataFrame, key: str = "request_id") -> DataFrame:
     """Requests with ``action`` (hit, miss, bypass) and the ``collect_id`` of a hit, the earliest stored one.
 
+    A hit is a stored config that has all settings of the request, and maybe more.
     ``use_cache`` false: bypass, nothing is stored.  ``no_cache``: collected anew and stored.
     """
-    known = configs.groupBy(config_hash(F.col("config")).alias("_h")).agg(F.min("collect_id").alias("collect_id"))
     look = flag(F.col("config"), "use_cache", True) & ~flag(F.col("config"), "no_cache", False)
-    found = requests.withColumn("_look", look).join(known, F.col("_look") & (config_hash(F.col("config")) == F.col("_h")), "left")
+    rows = requests.withColumn("_hash", F.when(look, config_hash(F.col("config"))))
+    asked = rows.filter("_hash is not null").groupBy(F.col("_hash").alias("hash")).agg(F.first(settings(F.col("config"))).alias("config"))
+    known = holding(asked, configs).withColumnRenamed("hash", "_h")
+    found = rows.join(known, F.col("_hash") == F.col("_h"), "left")
     action = F.when(~flag(F.col("config"), "use_cache", True), "bypass").when(F.col("collect_id").isNotNull(), "hit").otherwise("miss")
-    return found.withColumn("action", action).drop("_h", "_look")
+    return found.withColumn("action", action).drop("_h", "_hash")
 
 
 def republish(hits: DataFrame, records: DataFrame, source: str) -> DataFrame:

@@ -92,6 +92,20 @@ def fk_closure(spark, sf_dir):
     return K.closure(n.select("id"), n)
 
 
+@query("fk_enrich_open", """WITH o AS (SELECT * FROM orders WHERE o_orderkey % 11 <> 0 AND o_custkey % 5 <> 0)
+       SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, o_custkey, o_orderkey IS NULL AS waits FROM lineitem LEFT JOIN o ON l_orderkey = o_orderkey""")
+def fk_enrich_open(spark, sf_dir):
+    rows, refs = line_parts(spark, sf_dir)
+    deps = LINE_DEPS[:1]
+    refs = {"orders": refs["orders"].withColumn("raw_data_id", F.concat(F.lit("o"), "o_orderkey"))}
+    # Orders of every fifth customer wait themselves.
+    waiting = K.pendencies(refs["orders"], "raw_data_id", {"customer": table(spark, sf_dir, "customer").filter("c_custkey % 5 <> 0")}, [K.Dependency("orders", "customer", "o_custkey", "c_custkey")], F.current_timestamp())
+    row_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    late = K.pendencies(rows.withColumn("row_id", row_id), "row_id", refs, deps, F.current_timestamp(), waiting).select(F.col("raw_data_id").alias("row_id")).distinct()
+    found = K.enrich(rows, refs, deps, "o_orderkey", waiting).withColumn("row_id", row_id).join(late.withColumn("late", F.lit(True)), "row_id", "left")
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "orders.o_custkey", F.coalesce("late", F.lit(False)).alias("waits"))
+
+
 @query("fk_gate", """WITH rg AS (SELECT * FROM region WHERE r_regionkey <> 2), na AS (SELECT n.*, r_regionkey IS NOT NULL AS ok FROM nation n LEFT JOIN rg ON n_regionkey = r_regionkey),
        cu AS (SELECT c.*, coalesce(na.ok, false) AS ok FROM (SELECT * FROM customer WHERE c_custkey % 17 <> 0) c LEFT JOIN na ON c_nationkey = n_nationkey),
        od AS (SELECT o.*, coalesce(cu.ok, false) AS ok FROM orders o LEFT JOIN cu ON o_custkey = c_custkey)
@@ -122,7 +136,7 @@ def requests(spark, sf_dir):
        CASE WHEN event_id % 10 > 1 THEN collect_id END AS collect_id FROM r LEFT JOIN k USING (c)""")
 def collect_cache(spark, sf_dir):
     e = table(spark, sf_dir, "events").filter("value > 30")
-    configs = e.select(F.lpad(F.col("event_id").cast("string"), 8, "0").alias("collect_id"), F.create_map(F.lit("user"), (F.col("user_id") % 40).cast("string"), F.lit("portal"), F.col("event_type")).alias("config"))
+    configs = e.select(F.lpad(F.col("event_id").cast("string"), 8, "0").alias("collect_id"), F.create_map(F.lit("user"), (F.col("user_id") % 40).cast("string"), F.lit("portal"), F.col("event_type"), F.lit("depth"), F.lit("3")).alias("config"))
     return C.lookup(requests(spark, sf_dir), configs).select("request_id", "action", "collect_id")
 
 
@@ -140,14 +154,11 @@ def cache_republish(spark, sf_dir):
 
 @query("scan_json_dir", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_json_dir(spark, sf_dir):
-    path = shared_dir(spark)
-    table(spark, sf_dir, "documents").write.json(path)
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    # The writer's files hold a record a line; the reader takes files of one record or an array.
-    lines = spark.read.text(path, wholetext=True).select(F.concat(F.lit("["), F.regexp_replace(F.regexp_replace("value", "\n+$", ""), "\n", ","), F.lit("]")).alias("value"))
-    arrays = shared_dir(spark)
-    lines.write.option("lineSep", "\n").format("text").save(arrays)
-    return spark.read.schema(schema).option("multiLine", True).json(arrays)
+    path, docs = shared_dir(spark), table(spark, sf_dir, "documents")
+    # Files of one array each, a few hundred records long, in folders below the one that is scanned.
+    arrays = docs.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(docs.count() // 200 + 1)).alias("part")).agg(F.to_json(F.collect_list(F.struct(*docs.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return A.scan_json(spark, path, "doc_id long, text string, lang string, source string, n_chars long", "*.txt").filter("_bad is null").drop("_bad")
 
 
 @query("sink_partitioned_json", "SELECT source AS portal, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1")
@@ -206,11 +217,18 @@ def page_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", H.title(F.col("html")).alias("title"))
 
 
-@query("page_main_link", rf"""WITH h AS (SELECT page_id, regexp_extract_all({_BODY}, '(?s)<a[^>]*href="[^"]*"[^>]*>.*?</a>') AS l FROM pages), e AS (SELECT page_id, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM h),
-       t AS (SELECT page_id, pos, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(a, '<[^>]+>', '', 'g')) AS t FROM e)
-       SELECT page_id, arg_min(href, pos) AS href FROM t WHERE len(t) > 5 AND NOT regexp_matches(lower(href), '{"|".join(H.STOP_HREFS)}') AND NOT regexp_matches(lower(t), '{"|".join(H.STOP_TEXTS)}') GROUP BY 1""")
+_AHEAD = """'<a href="/categoria/obras">Licitações e obras da cidade</a><a href="#top">Voltar ao começo desta página</a><a href="x.html">Um endereço sem barra no começo</a><a href="/n/' || page_id || '">Prefeitura abre licitação &amp; obra ' || page_id || '</a>'"""
+
+
+@query("page_main_link", rf"""WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') AS base, CASE WHEN page_id % 2 = 0 THEN {_AHEAD} ELSE '' END || html AS html FROM pages),
+       h AS (SELECT page_id, base, regexp_extract_all({_BODY}, '(?s)<a[^>]*href="[^"]*"[^>]*>.*?</a>') AS l FROM p), e AS (SELECT page_id, base, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM h),
+       t AS (SELECT page_id, base, pos, regexp_extract(a, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(a, '<[^>]+>', '', 'g')) AS t FROM e),
+       u AS (SELECT page_id, pos, CASE WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN base || href END AS url FROM t
+             WHERE len(replace(t, '&amp;', '&')) > 20 AND NOT regexp_matches(lower(href), 'javascript:|#|mailto:|categoria|category|tag|author|page|pagina') AND NOT regexp_matches(lower(t), 'menu|contato|sobre|anuncie|assine|login|buscar'))
+       SELECT page_id, arg_min(url, pos) AS url FROM u WHERE url IS NOT NULL GROUP BY 1""")
 def page_main_link(spark, sf_dir):
-    return H.main_link(table(spark, sf_dir, "pages"), least=5)
+    ahead = F.when(F.col("page_id") % 2 == 0, F.expr(_AHEAD)).otherwise("")
+    return H.main_link(table(spark, sf_dir, "pages").withColumn("html", F.concat(ahead, "html")))
 
 
 @query("html_clean", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'),

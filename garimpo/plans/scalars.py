@@ -93,12 +93,12 @@ def normalize_edital(spark, sf_dir):
 @query(
     "clean_text",
     r"""
-    SELECT doc_id, trim(regexp_replace(regexp_replace(lower(regexp_replace('<p>' || text || '\</p>', '<[^>]+>', '', 'g')),
-      '[!"#$%&''()*+,\-./:;<=>?@\[\]^_`{|}~]', '', 'g'), '\s+', ' ', 'g')) AS cleaned FROM documents
+    SELECT doc_id, trim(regexp_replace(regexp_replace(lower(replace(replace(replace(regexp_replace('<p>A&amp;B<br>c' || text || '\</p>&ccedil;&#227;o', '</?[A-Za-z][^>]*>', ' ', 'g'),
+      '&amp;', '&'), '&ccedil;', 'ç'), '&#227;', 'ã')), '[!"#$%&''()*+,\-./:;<=>?@\[\]^_`{|}~]', '', 'g'), '[\s\x{00a0}]+', ' ', 'g')) AS cleaned FROM documents
     """,
 )
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.concat(F.lit("<p>"), "text", F.lit("\\</p>"))).alias("cleaned"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.concat(F.lit("<p>A&amp;B<br>c"), "text", F.lit("\\</p>&ccedil;&#227;o"))).alias("cleaned"))
 
 
 @query("fold_text", "SELECT doc_id, translate(lower(text), 'áàâãäåçéèêëíìîïñóòôõöúùûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy') AS folded FROM documents")

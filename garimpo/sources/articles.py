@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 ARTICLE = "portal string, title string, chamada string, text string, url string, date_publication string, date_extraction string, page_number int"
 
 
-def scan_json(spark: SparkSession, path: str, schema: str = ARTICLE) -> DataFrame:
-    """Articles of all ``*.json`` files below a folder or object prefix, each an array of records or one record.
+def scan_json(spark: SparkSession, path: str, schema: str = ARTICLE, files: str = "*.json") -> DataFrame:
+    """Articles of all ``files`` below a folder or object prefix, each an array of records or one record.
 
     A broken file gives a row that holds it in ``_bad``.
     """
     return (
-        spark.read.schema(f"{schema}, _bad string").option("multiLine", True).option("pathGlobFilter", "*.json")
+        spark.read.schema(f"{schema}, _bad string").option("multiLine", True).option("pathGlobFilter", files)
         .option("recursiveFileLookup", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
     )
 

@@ -7,6 +7,7 @@ attributes run over Arrow batches with the standard library's parser.
 from __future__ import annotations
 
 import datetime
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -15,15 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions import dates
-from garimpo.functions.text import clean_html
+from garimpo.functions.text import clean_html, unescape
 
 NO_TITLE = "sem-titulo"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCKS = ("p", "h2", "h3")
 
-# Parts of links and texts that are no articles.
-STOP_HREFS = ("login", "contato", "sobre", "politica", "termos", "facebook", "twitter", "instagram", "whatsapp", "mailto")
-STOP_TEXTS = ("leia mais", "assine", "newsletter", "publicidade", "cookies", "menu", "entrar")
+# Parts of links and texts that are no articles, and of classes that name dates and subtitles.
+STOP_HREFS = ("javascript:", "#", "mailto:", "categoria", "category", "tag", "author", "page", "pagina")
+STOP_TEXTS = ("menu", "contato", "sobre", "anuncie", "assine", "login", "buscar")
+DATE_CLASSES = ("date", "data")
+SUBTITLE_CLASSES = ("subtitle", "chamada", "lead", "excerpt", "resumo", "deck")
 
 
 def scripts_off(html: Column) -> Column:
@@ -41,14 +44,17 @@ def links(pages: DataFrame, base: Column, prefixes: list[str]) -> DataFrame:
 
 
 def main_link(pages: DataFrame, least: int = 20) -> DataFrame:
-    """``page_id, href``: the first link that looks like an article: a text of over ``least`` letters, no stop words in either."""
+    """``page_id, url``: the first link that looks like an article: a text of over ``least`` letters, no stop words in either.
+
+    Links are whole or begin with ``/``, which is made absolute by the page's ``url``; others don't count.
+    """
     anchors = F.regexp_extract_all(scripts_off(F.col("html")), F.lit(r'(?s)<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), F.lit(0))
-    each = pages.select("page_id", F.posexplode(anchors).alias("pos", "a"))
-    href = F.regexp_extract("a", 'href="([^"]*)"', 1)
-    text = F.trim(F.regexp_replace("a", "<[^>]+>", ""))
-    none = lambda c, stops: ~F.lower(c).rlike("|".join(stops))
-    good = each.select("page_id", "pos", href.alias("href"), text.alias("t")).filter((F.length("t") > least) & none(F.col("href"), STOP_HREFS) & none(F.col("t"), STOP_TEXTS))
-    return good.groupBy("page_id").agg(F.min_by("href", "pos").alias("href"))
+    each = pages.select("page_id", F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0).alias("base"), F.posexplode(anchors).alias("pos", "a"))
+    href, text = unescape(F.regexp_extract("a", 'href="([^"]*)"', 1)), F.trim(unescape(F.regexp_replace("a", "<[^>]+>", "")))
+    none = lambda c, stops: ~F.exists(F.array(*map(F.lit, stops)), lambda x: F.contains(F.lower(c), x))
+    good = each.select("page_id", "pos", "base", href.alias("href"), text.alias("t")).filter((F.length("t") > least) & none(F.col("href"), STOP_HREFS) & none(F.col("t"), STOP_TEXTS))
+    url = F.when(F.col("href").startswith("http"), F.col("href")).when(F.col("href").startswith("/"), F.concat("base", "href"))
+    return good.withColumn("url", url).filter("url is not null").groupBy("page_id").agg(F.min_by("url", "pos").alias("url"))
 
 
 def title(html: Column, tag: str = "h1") -> Column:
@@ -170,20 +176,29 @@ def first_words(html: Column, n: int = 2000) -> Column:
 PROFILE = "page_id long, host string, h1 string, dates array<string>, subtitle_class string, containers array<string>"
 
 
+def profile(page: Page) -> tuple:
+    """(heading, dates, subtitle class, container classes) of one page.
+
+    Dates: up to three ``time`` elements or else elements whose class names one; the subtitle:
+    the first of ten classed elements of a kind that names one; containers: up to two classed
+    articles, then divs, of three paragraphs or more.
+    """
+    classed = lambda tag: [e for e in page.elements if e["tag"] == tag and e["attrs"].get("class")]
+    names = lambda e, parts: any(x in e["attrs"]["class"].lower() for x in parts)
+    times = [e["attrs"].get("datetime") or text_of(e) for e in page.find("time")[:3]]
+    times = times or [text_of(e) for tag in ("span", "div", "p") for e in classed(tag) if names(e, DATE_CLASSES)][:3]
+    sub = next((e["attrs"]["class"] for tag in ("h2", "p", "div") for e in classed(tag)[:10] if names(e, SUBTITLE_CLASSES)), None)
+    held = Counter(id(box) for p in page.find("p") for box in p["inside"])
+    boxes = [e["attrs"]["class"] for tag in ("article", "div") for e in classed(tag) if held[id(e)] >= 3]
+    return text_of(next(iter(page.find("h1")), None)) or None, times, sub, boxes[:2]
+
+
 def profiles(pages: DataFrame) -> DataFrame:
     """Structure of each page: heading, dates, subtitle-like class, containers of three paragraphs or more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                page = Page(r.html)
-                name = lambda e: e["attrs"].get("class") or e["tag"]
-                times = [e["attrs"].get("datetime") or text_of(e) for e in page.find("time")][:3]
-                times = times or [text_of(e) for e in page.elements if any(w in e["attrs"].get("class", "").lower() for w in ("date", "data"))][:1]
-                sub = next((name(e) for e in page.elements if any(w in e["attrs"].get("class", "").lower() for w in ("subtit", "chamada", "lead", "linha-fina"))), None)
-                boxes = [e for e in page.elements if e["tag"] in ("article", "div") and sum(any(x is e for x in p["inside"]) for p in page.find("p")) >= 3]
-                out.append((r.page_id, r.host, text_of(next(iter(page.find("h1")), None)) or None, times, sub, [name(e) for e in boxes[:2]]))
+            out = [(r.page_id, r.host, *profile(Page(r.html))) for r in pdf.itertuples(index=False)]
             yield pd.DataFrame(out, columns=[x.split()[0] for x in PROFILE.split(", ")])
 
     host = F.regexp_replace(F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")), r"^www\.", "")

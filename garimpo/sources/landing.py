@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,12 +24,15 @@ def stamp(records: DataFrame, source: str, collect_id: str, identity: list[str],
     })
 
 
-def land(stamped: DataFrame, path: str) -> Observation:
-    """Append to one table partitioned by source and entity; the count is taken as the rows are written."""
-    seen = Observation("landed")
+def land(stamped: DataFrame, path: str) -> None:
+    """Append to one table partitioned by source and entity."""
     entity = F.coalesce(F.col("entity_type"), F.lit("none")) if "entity_type" in stamped.columns else F.lit("none")
-    stamped.withColumn("entity_type", entity).observe(seen, F.count("*").alias("n")).write.mode("append").partitionBy("data_source", "entity_type").parquet(path)
-    return seen
+    stamped.withColumn("entity_type", entity).write.mode("append").partitionBy("data_source", "entity_type").parquet(path)
+
+
+def landed(spark: SparkSession, path: str, collect_id: str) -> int:
+    """Records that a collection run has written, counted from the table."""
+    return spark.read.parquet(path).filter(F.col("collect_id") == collect_id).count()
 
 
 def union_of(collections: list[DataFrame]) -> DataFrame:

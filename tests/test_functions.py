@@ -24,7 +24,8 @@ D = dt.date(2025, 7, 24)
     (dates.day_month_year_hour, "24/07/2025 às 14h38 Atualizada em 25/07/2025", D), (dates.day_month_year_hour, "24/07/2025", None),
     (dates.normalize_date, "99/99/2025", "2025-99-99"), (dates.normalize_date, "30/5/2025", "30/5/2025"), (dates.normalize_date, "2025-05-30T10:00", "2025-05-30"), (dates.normalize_date, "", None),
     (text.normalize_edital, "005/2023", "5/2023"), (text.normalize_edital, "000/2023", "0/2023"), (text.normalize_edital, "PL 184/2021", "PL 184/2021"), (text.normalize_edital, "1/2/3", "1/2/3"),
-    (text.clean_text, "<b>A, B\\C!</b>  d", "a b\\c d"), (text.portal_of_url, "https://g1.globo.com/x", "g1"), (text.portal_of_url, "https://www.nsctotal.com.br/y", "nsctotal"), (text.portal_of_url, "no scheme", ""),
+    (text.clean_text, "<b>A, B\\C!</b>  d", "a b\\c d"), (text.clean_text, "<p>fraude</p><p>edital</p> a&amp;b<br>c", "fraude edital ab c"),
+    (text.clean_text, "x<script>var a</script>y<!-- no -->z 3 < 4 &eacute;&#x1F600;&#128;&nope; &copy", "x y z 3 4 é\U0001f600\x80nope copy"), (text.portal_of_url, "https://g1.globo.com/x", "g1"), (text.portal_of_url, "https://www.nsctotal.com.br/y", "nsctotal"), (text.portal_of_url, "no scheme", ""),
     (text.fold, "São José", "sao jose"), (text.fold_exact, "São José №", "sao jose no"),
 ])
 def test_vectors(spark, f, s, want):

@@ -34,11 +34,11 @@ def test_closure_depth(spark):
     assert got == {i: i for i in range(21)}
 
 
-def test_cache_ignores_order_and_flags(spark):
-    reqs = spark.createDataFrame([(1, {"a": "1", "b": "2"}), (2, {"b": "2", "a": "1"}), (3, {"a": "1", "b": "2", "no_cache": "true"}), (4, {"a": "1", "b": "2", "use_cache": "false"}), (5, {"a": "1"}), (6, {"a": "1", "b": "2", "c": None})], "request_id long, config map<string,string>")
-    known = spark.createDataFrame([("c2", {"b": "2", "a": "1"}), ("c1", {"a": "1", "b": "2"})], "collect_id string, config map<string,string>")
+def test_cache_takes_the_earliest_config_that_holds_all_settings(spark):
+    reqs = spark.createDataFrame([(1, {"a": "1", "b": "2"}), (2, {"b": "2", "a": "1"}), (3, {"a": "1", "b": "2", "no_cache": "true"}), (4, {"a": "1", "b": "2", "use_cache": "false"}), (5, {"a": "1"}), (6, {"a": "1", "b": "2", "c": None}), (7, {"a": "1", "b": "3"}), (8, {"a": "1", "z": "2"}), (9, {})], "request_id long, config map<string,string>")
+    known = spark.createDataFrame([("c2", {"b": "2", "a": "1"}), ("c1", {"a": "1", "b": "2", "more": "x"}), ("c0", {"q": "9"})], "collect_id string, config map<string,string>")
     got = {r.request_id: (r.action, r.collect_id) for r in cache.lookup(reqs, known).collect()}
-    assert got == {1: ("hit", "c1"), 2: ("hit", "c1"), 3: ("miss", None), 4: ("bypass", None), 5: ("miss", None), 6: ("hit", "c1")}
+    assert got == {1: ("hit", "c1"), 2: ("hit", "c1"), 3: ("miss", None), 4: ("bypass", None), 5: ("hit", "c1"), 6: ("hit", "c1"), 7: ("miss", None), 8: ("miss", None), 9: ("hit", "c0")}
 
 
 def test_upserts_are_idempotent(spark):
@@ -99,7 +99,8 @@ def test_json_scan(spark, tmp_path):
 def test_landing_counts(spark):
     df = spark.createDataFrame([(1, "x", "n"), (2, "y", None)], "id long, t string, entity_type string")
     path = shared_dir(spark)
-    assert landing.land(landing.stamp(df, "Src", "c", ["id", "t"]), path).get["n"] == 2
+    landing.land(landing.stamp(df, "Src", "c", ["id", "t"]), path)
+    assert landing.landed(spark, path, "c") == 2 and landing.landed(spark, path, "other") == 0
     back = landing.collections_of(spark, path, "SRC")
     assert back.count() == 2 and back.select("raw_data_id").distinct().count() == 2
 

@@ -33,3 +33,9 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_landing_leaves_the_classifier_usable(spark, sf_dir):
+    q = registry.queries()
+    assert q["raw_landing"](spark, sf_dir).count() > 0
+    assert q["classify_docs"](spark, sf_dir).filter("prediction in (0, 1)").count() == q["classify_docs"](spark, sf_dir).count()
