@@ -133,3 +133,27 @@ def test_names_of_any_number_of_words_and_whole_objects(spark):
     assert got[1].municipio == ["São Miguel", "São Miguel da Boa Vista"] and got[2].municipio == ["Lages"] and got[3].municipio == []
     assert got[1].objeto == [item] and got[2].objeto == ["giz"]
     assert all(r.municipio == [] for r in models.extract(texts, "id", "text", places.limit(0)).collect())
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Pregões eletrônicos e o pregão presencial 3/2020", ["pregão presencial", "pregão eletrônico"]), ("dispensas e inexigibilidade", ["dispensa de licitação", "inexigibilidade de licitação"]),
+    ("frustrar a concorrência pública e restringiu a concorrência", []), ("na modalidade concorrência; concorrência nº 12/2023", ["concorrência"]), ("concorrência pública 1", ["concorrência"]),
+    ("concurso público para cargos", []), ("licitação na modalidade de concurso", ["concurso"]), ("sistema de registro de preços por pregão", ["pregão"]), ("pregão público", []),
+    ("aceitou o convite para a festa", []), ("carta-convite 12/2001", ["convite"]), ("convite nº 12/2001", ["convite"]), ("Regime\nDiferenciado de Contratação", ["regime diferenciado de contratação"]), (None, []),
+])
+def test_modalities_named_clearly(spark, text, want):
+    from garimpo.operators import models
+
+    got = spark.createDataFrame([(text,)], "t string").select(models.modalities(F.coalesce("t", F.lit("")))).first()[0]
+    assert got == want
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_names_with_and_without_first_words(spark, few, monkeypatch):
+    from garimpo.operators import models
+
+    monkeypatch.setattr(models, "FIRST_WORDS", 100 if few else 1)
+    texts = spark.createDataFrame([(1, "A Nova  Trento e Nova-Veneza."), (2, "Nova"), (3, ""), (4, "em São José do Cedro, São José")], "id int, text string")
+    places = spark.createDataFrame([("Nova Trento",), ("Nova Veneza",), ("São José",), ("São José do Cedro",), ("",)], "name string")
+    got = {r.id: r.names for r in models.named(texts, "id", "text", places).collect()}
+    assert got == {1: ["Nova Trento", "Nova Veneza"], 4: ["São José", "São José do Cedro"]}
