@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Relational type names and the Spark type that holds them.
@@ -35,3 +35,9 @@ def coerce(value: Column, kind: str) -> Column:
 def fits(value: Column, kind: str) -> Column:
     """Whether a non-null value can be the given type."""
     return value.isNotNull() & coerce(value, kind).isNotNull()
+
+
+def is_exactly(rows: DataFrame, column: str, kind: str) -> Column:
+    """Whether a value is there and its column already has the given type, without any conversion."""
+    same = rows.schema[column].dataType.simpleString() == TYPES[kind]
+    return F.col(column).isNotNull() & F.lit(same)

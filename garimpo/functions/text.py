@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities that pages hold, in the order of decoding.
-ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
-
 # Fixed value: ASCII punctuation without the backslash.
 PUNCTUATION = r"""[!"#$%&'()*+,\-./:;<=>?@\[\]^_`{|}~]"""
 
@@ -33,9 +30,7 @@ def first_filled(*cols: Column) -> Column:
 
 def clean_html(s: Column) -> Column:
     """Text without tags: entities decoded, three or more line ends made two, trimmed."""
-    out = F.regexp_replace(s, "<[^>]+>", "")
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
+    out = unescape(F.regexp_replace(s, "<[^>]+>", ""))
     return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"^[\s\x{00a0}]+|[\s\x{00a0}]+$", "")
 
 

@@ -11,44 +11,55 @@ from garimpo.sources.shared import small, stored
 
 #: Similarity that a name has to pass, and that tender numbers and modalities have to pass.
 NAME_LEAST, LINK_LEAST = 0.4, 0.5
-
-
-def rare_first(rows: DataFrame, key: str, scope: list[str], share: float) -> DataFrame:
-    """``key, *scope, g``: the rarest trigrams of each row's ``grams`` that a partner has to share one of.
-
-    Two sets of a similarity above ``share`` have more than ``share`` of either in common, so
-    one of them lies among the first (1 - share) n + 1 in any order that both follow.
-    Rare ones first keeps what all rows have (years, padding) out of the join.
-    """
-    each = rows.select(key, *scope, F.size("grams").alias("n"), F.explode("grams").alias("g"))
-    df = each.groupBy("g").agg(F.count("*").alias("df"))
-    order = Window.partitionBy(key, *scope).orderBy("df", "g")
-    return (
-        each.join(df, "g").withColumn("k", F.row_number().over(order))
-        .filter(F.col("k") <= F.floor(F.col("n") * (1 - share)) + 1).select(key, *scope, "g")
-    )
+#: Rare trigrams that a candidate pair must share, where it must share as many in all.
+MEETINGS = 3
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[str] | None = None) -> DataFrame:
     """``a, b, score`` of pairs of texts with trigram similarity above ``least``, without a cartesian product.
 
     ``left`` has ``a, text`` and ``right`` has ``b, text``, both the ``scope`` columns that must be
-    equal.  An inverted index on rare trigrams proposes pairs; whole sets decide.
+    equal.  Two sets of a similarity above ``least`` have more than that share of either in
+    common, t of ``left``'s n at least, so m of them lie among its first n - t + m in any order; those
+    that are rare in ``right`` come first, which keeps what all rows have (years, padding) out
+    of the join.  Pairs of unlike sizes, or that meet less than m times, are left out; whole sets decide.
     """
     scope = scope or []
-    tag = lambda df, k: df.select(F.concat(F.lit(f"{k}:"), F.col(k).cast("string")).alias("key"), *scope, trigrams(F.col("text")).alias("grams"))
-    index = rare_first(tag(left, "a").unionByName(tag(right, "b")), "key", scope, least)
-    a = index.filter(F.col("key").startswith("a:")).withColumnRenamed("key", "ka")
-    b = index.filter(F.col("key").startswith("b:")).withColumnRenamed("key", "kb")
-    pairs = a.join(b, ["g", *scope]).select("ka", "kb").distinct()
-    la = left.select(F.concat(F.lit("a:"), F.col("a").cast("string")).alias("ka"), "a", trigrams(F.col("text")).alias("ga"))
-    lb = right.select(F.concat(F.lit("b:"), F.col("b").cast("string")).alias("kb"), "b", trigrams(F.col("text")).alias("gb"))
+    la = stored(left.select("a", *scope, "text").distinct().select("*", trigrams(F.col("text")).alias("ga")))
+    lb = stored(right.select("b", *scope, trigrams(F.col("text")).alias("gb")))
+    offered = lb.select("b", *scope, F.size("gb").alias("nb"), F.explode("gb").alias("g"))
+    often = stored(offered.groupBy("g").agg(F.count("*").alias("df")))
+    order = Window.partitionBy("a", *scope, "text").orderBy(F.coalesce("df", F.lit(0)), "g")
+    asked = (
+        la.select("a", *scope, "text", F.size("ga").alias("na"), F.explode("ga").alias("g")).join(small(often), "g", "left")
+        .withColumn("k", F.row_number().over(order)).withColumn("t", F.floor(F.col("na") * F.lit(least) + 1e-9) + 1).withColumn("m", F.least("t", F.lit(MEETINGS)))
+        .filter((F.col("k") <= F.col("na") - F.col("t") + F.col("m")) & F.col("df").isNotNull())
+    )
+    like = F.least("na", "nb") > least * F.greatest("na", "nb") - 1e-6
+    met = asked.select("a", "na", "m", *scope, "g").join(offered, ["g", *scope]).filter(like)
+    pairs = met.groupBy("a", "b", *scope).agg(F.count("*").alias("met"), F.min("m").alias("m")).filter("met >= m").drop("met", "m")
     return (
-        pairs.join(la, "ka").join(lb, "kb").withColumn("score", similarity_of(F.col("ga"), F.col("gb")))
-        .filter(F.col("score") > F.lit(least).cast("float")).select("a", "b", "score")
+        pairs.join(la, ["a", *scope]).join(lb, ["b", *scope]).withColumn("score", similarity_of(F.col("ga"), F.col("gb")))
+        .filter(F.col("score") > F.lit(least).cast("float")).select("a", "b", "score").distinct()
     )
 
 
+def containing(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope: list[str]) -> DataFrame:
+    """Rows of ``asked`` and ``offered``, equal in ``scope``, whose ``whole`` contains ``text``, letter case aside.
+
+    ``%`` and ``_`` in ``text`` are wildcards.  Texts of three letters or more without them are found by an
+    equi-join on their first three; only the others are compared with all of their scope.
+    """
+    plain = (F.length(text) >= 3) & ~F.col(text).rlike(r"[%_\\]")
+    inside = F.expr(f"{whole} ilike concat('%', {text}, '%')")
+    place = F.sequence(F.lit(1), F.greatest(F.length(whole) - 2, F.lit(1)))
+    parts = offered.select("*", F.explode(F.array_distinct(F.transform(place, lambda i: F.substr(F.lower(whole), i, F.lit(3))))).alias("_g"))
+    found = asked.filter(plain).withColumn("_g", F.substring(F.lower(text), 1, 3)).join(parts, [*scope, "_g"]).filter(inside).drop("_g")
+    odd = asked.filter(~plain)
+    rest = odd.join(offered, scope).filter(inside) if scope else odd.join(small(offered), inside)
+    return found.unionByName(rest)
+
+
 def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST) -> DataFrame:
     """``name, id, tier``: the place of each distinct name; equal, then contained, then similar.
 
@@ -59,11 +70,12 @@ def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST
     asked = names.select(F.trim("name").alias("name")).filter("name is not null and name <> ''").distinct()
     plain = asked.filter(~F.col("name").rlike("[%_\\\\]"))
     exact = plain.join(places, F.lower("name") == F.lower("place")).groupBy("name").agg(F.min("id").alias("id"))
-    places = small(places)
-    wild = asked.filter(F.col("name").rlike("[%_\\\\]")).join(places, F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
+    wild = asked.filter(F.col("name").rlike("[%_\\\\]")).join(small(places), F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
     exact = exact.unionByName(wild)
-    rest = asked.join(exact, "name", "left_anti")
-    part = rest.join(places, F.expr("place ilike concat('%', name, '%')")).groupBy("name").agg(F.min("id").alias("id"))
+    exact = stored(exact)
+    rest = stored(asked.join(exact, "name", "left_anti"))
+    part = containing(rest, places, "name", "place", []).groupBy("name").agg(F.min("id").alias("id"))
+    part = stored(part)
     rest = rest.join(part, "name", "left_anti")
     close = similar_pairs(rest.select(F.col("name").alias("a"), F.col("name").alias("text")), places.select(F.col("id").alias("b"), F.col("place").alias("text")), least)
     close = close.groupBy(F.col("a").alias("name")).agg(F.min_by("b", F.struct(-F.col("score"), F.col("b"))).alias("id"))
@@ -94,9 +106,11 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
         .join(small(modalities.select(F.col("id_modalidade_licitacao"), F.col("descricao").alias("asked_modality"))), "id_modalidade_licitacao", "left")
         .select("id_noticia", "id_municipio", F.col("numero_edital").alias("asked"), F.coalesce("asked_modality", F.lit("")).alias("asked_modality"))
     )
-    offered = (
+    asked = stored(asked)
+    places = small(asked.select("id_municipio").distinct())
+    offered = stored(
         processes.join(modalities, "id_modalidade_licitacao")
-        .join(units, "id_unidade_gestora").join(bodies, "id_ente")
+        .join(units, "id_unidade_gestora").join(bodies, "id_ente").join(places, "id_municipio", "left_semi")
         .select("id_processo_licitatorio", "numero_edital", "descricao", "id_municipio")
     )
     kinds = similar_pairs(
@@ -104,22 +118,14 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
         offered.select(F.col("descricao").alias("b"), F.col("descricao").alias("text")).distinct(), least,
     ).select(F.col("a").alias("asked_modality"), F.col("b").alias("descricao"), F.col("score").alias("score_modalidade"))
     kinds = kinds.unionByName(offered.select(F.lit("").alias("asked_modality"), "descricao", F.lit(0.0).cast("float").alias("score_modalidade")).distinct())
-    scoped = asked.join(small(stored(kinds)), "asked_modality")
+    scoped = stored(asked.join(small(stored(kinds)), "asked_modality"))
     near = similar_pairs(
         scoped.select(F.col("id_noticia").alias("a"), "id_municipio", "descricao", F.col("asked").alias("text")),
         offered.select(F.col("id_processo_licitatorio").alias("b"), "id_municipio", "descricao", F.col("numero_edital").alias("text")),
         least, ["id_municipio", "descricao"],
     ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio")).distinct()
-    gram = F.substring(F.lower("asked"), 1, 3)
-    plain = (F.length("asked") >= 3) & ~F.col("asked").rlike(r"[%_\\]")
-    parts = offered.select(
-        "id_municipio", "descricao", "id_processo_licitatorio", "numero_edital",
-        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("numero_edital") - 2, F.lit(1))), lambda i: F.substr(F.lower("numero_edital"), i, F.lit(3))))).alias("g"),
-    )
-    inside = F.expr("numero_edital ilike concat('%', asked, '%')")
-    holds = scoped.filter(plain).withColumn("g", gram).join(parts, ["id_municipio", "descricao", "g"]).filter(inside).select("id_noticia", "id_processo_licitatorio")
-    odd = scoped.filter(~plain).join(offered, ["id_municipio", "descricao"]).filter(inside).select("id_noticia", "id_processo_licitatorio")
-    pairs = near.unionByName(holds).unionByName(odd).distinct()
+    holds = containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio")
+    pairs = near.unionByName(holds).distinct()
     scored = (
         pairs.join(scoped.select("id_noticia", "asked", "descricao", "score_modalidade"), "id_noticia")
         .join(offered, ["id_processo_licitatorio", "descricao"])

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.functions.text import first_filled, portal_of_url, summary
-from garimpo.operators import filters, models
+from garimpo.operators import filters, keys, linking, models
+from garimpo.sources import landing
+from garimpo.sources.shared import small, stored
 
 
 def envelope(rows: DataFrame, source: str, uf: str = "SC") -> DataFrame:
@@ -36,3 +38,46 @@ def verified(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, failed) records of the verifier."""
     checked = filters.verify(records)
     return checked.filter("error is null").drop("error"), checked.filter("error is not null")
+
+
+def news_of(records: DataFrame, key: str, places: DataFrame, modalities: DataFrame) -> DataFrame:
+    """Verified envelopes as rows for the linker: ``id_noticia, id_municipio, numero_edital, id_modalidade_licitacao, objeto``.
+
+    ``places`` are ``id, place``, ``modalities`` ``id_modalidade_licitacao, descricao``; what they
+    don't know is NULL.
+    """
+    flat = records.select(
+        F.col(key).alias("id_noticia"), F.trim("municipio.nome_municipio").alias("name"), F.col("noticia.numero_edital").alias("numero_edital"),
+        F.col("modalidade_licitacao.descricao").alias("descricao"), F.col("noticia.objeto").alias("objeto"), F.col("noticia.nome_portal").alias("nome_portal"),
+    )
+    resolved = stored(linking.resolve_names(flat.select("name"), places).select("name", F.col("id").alias("id_municipio")))
+    kinds = modalities.groupBy("descricao").agg(F.min("id_modalidade_licitacao").alias("id_modalidade_licitacao"))
+    return flat.join(resolved, "name", "left").join(small(kinds), "descricao", "left").drop("name", "descricao")
+
+
+def end_to_end(
+    articles: DataFrame, model: PipelineModel, dictionary: DataFrame, source: str, land_at: str, collect_id: str,
+    catalogue: tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame], texts: DataFrame,
+) -> dict[str, DataFrame]:
+    """The whole flow: landing, processing, verifying, key gate, linking, write-back.
+
+    ``articles`` have ``url, title, text, portal, chamada, date_publication``; ``catalogue`` is (processes,
+    modalities, units, bodies, places); ``texts`` give the ``texto`` of units.  The gate lets through news
+    whose municipality, if they name one, is known; the others wait.  Returns ``landed``,
+    ``failed`` (verifier), ``waiting`` (gate), ``links`` (decisions) and ``news`` (written back).
+    """
+    processes, modalities, units, bodies, places = catalogue
+    landing.land(landing.stamp(articles, source, collect_id, ["url"]), land_at)
+    landed = landing.collections_of(articles.sparkSession, land_at, source).filter(F.col("collect_id") == collect_id)
+    good, failed = verified(stored(process(landed, model, dictionary, source.lower(), keep=stored)))
+    known = places.select(F.col("id_municipio").alias("id"), F.col("nome_municipio").alias("place"))
+    rows = good.withColumn("nome", F.col("municipio.nome_municipio"))
+    gate = keys.pendencies(rows, "raw_data_id", {"municipio": places}, [keys.Dependency("noticia", "municipio", "nome", "nome_municipio")], F.current_timestamp())
+    waiting = stored(gate)
+    ready = rows.join(waiting.select("raw_data_id").distinct(), "raw_data_id", "left_anti")
+    news = stored(news_of(ready, "raw_data_id", known, modalities))
+    found = stored(linking.candidates(news, processes, modalities, units, bodies).select("id_noticia", "id_processo_licitatorio"))
+    info = found.join(linking.details(found, processes, modalities, units, bodies, places).join(texts, "id_unidade_gestora"), "id_processo_licitatorio")
+    links = stored(linking.decide(news, found, linking.disambiguate(info, news.select("id_noticia", "objeto"))))
+    written = linking.apply_links(news.withColumn("id_processo_licitatorio", F.lit(None).cast("long")), links)
+    return {"landed": landed, "failed": failed, "waiting": waiting, "links": links, "news": written}

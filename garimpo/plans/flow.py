@@ -231,7 +231,7 @@ def page_main_link(spark, sf_dir):
     return H.main_link(table(spark, sf_dir, "pages").withColumn("html", F.concat(ahead, "html")))
 
 
-@query("html_clean", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'),
+@query("html_clean", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'),
        '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13) || chr(160)) AS cleaned FROM pages""")
 def html_clean(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.clean_html(F.col("html")).alias("cleaned"))
@@ -401,6 +401,47 @@ def pipeline_summary(spark, sf_dir):
     )
 
 
+def flow_parts(spark, sf_dir):
+    """Articles on tenders, and the tables that they are linked to: orders as tenders, their part as the place.
+
+    Article k names the place of part k + 1, a modality, and its number ``k/2023``; tender k has the same number
+    but for every fifth; every seventh article has no title, every eleventh place is not in the catalogue.
+    """
+    k, part = F.col("doc_id"), table(spark, sf_dir, "part")
+    articles = tender_texts(spark, sf_dir).select(
+        F.concat(F.lit("https://www.p.example/"), "doc_id").alias("url"), F.when(k % 7 != 0, F.concat(F.lit("Licitação "), k.cast("string"))).alias("title"), "text",
+        F.col("source").alias("portal"), F.lit(None).cast("string").alias("chamada"), F.lit("2024-01-01").cast("date").alias("date_publication"),
+    )
+    names = part.groupBy(F.col("p_name").alias("nome_municipio")).agg(F.min("p_partkey").alias("id_municipio"))
+    places = names.filter("id_municipio % 11 <> 0")
+    mods = spark.createDataFrame(list(enumerate(sorted(set(M.MODALITIES.values())), 1)), "id_modalidade_licitacao int, descricao string")
+    forms = F.create_map(*[F.lit(x) for i, f in enumerate(M.MODALITIES.values()) for x in (i, f)])
+    tenders = table(spark, sf_dir, "documents").select("doc_id").join(part.select((F.col("p_partkey") - 1).alias("doc_id"), F.col("p_name").alias("nome_municipio")), "doc_id").join(names, "nome_municipio")
+    processes = tenders.withColumn("descricao", F.element_at(forms, (k % len(M.MODALITIES)).cast("int"))).join(F.broadcast(mods), "descricao").select(
+        k.alias("id_processo_licitatorio"), F.when(k % 5 == 0, F.concat(F.lit("X"), k * 7 + 900001, F.lit("/1999"))).otherwise(F.concat(k, F.lit("/2023"))).alias("numero_edital"),
+        "id_modalidade_licitacao", F.col("id_municipio").alias("id_unidade_gestora"))
+    units = names.select(F.col("id_municipio").alias("id_unidade_gestora"), F.col("id_municipio").alias("id_ente"))
+    bodies = names.select(F.col("id_municipio").alias("id_ente"), "id_municipio")
+    texts = names.select(F.col("id_municipio").alias("id_unidade_gestora"), F.concat(F.lit("prefeitura "), "nome_municipio").alias("texto"))
+    return articles, (processes, mods, units, bodies, places), texts
+
+
+def flow(spark, sf_dir):
+    articles, catalogue, texts = flow_parts(spark, sf_dir)
+    return P.end_to_end(articles, M.fit_classifier(labelled(spark, sf_dir)), names(spark, sf_dir), "Noticias", shared_dir(spark), "run-1", catalogue, texts)
+
+
+@query("flow_end_to_end")
+def flow_end_to_end(spark, sf_dir):
+    """Statistics of the whole flow for each portal: what was written back, and how it was linked."""
+    out = flow(spark, sf_dir)
+    news = out["news"].join(out["links"].select("id_noticia", "status", "n_candidates"), "id_noticia")
+    return news.groupBy(F.col("nome_portal").alias("portal")).agg(
+        F.count("*").alias("n"), *[F.count_if(F.col("status") == x).alias(x) for x in ("linked", "linked_via_llm", "ambiguous", "no_match")],
+        F.count("id_processo_licitatorio").alias("written"), F.count("id_municipio").alias("with_place"),
+    )
+
+
 # Streams -----------------------------------------------------------------------------------------
 
 

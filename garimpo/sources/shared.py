@@ -12,10 +12,12 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's checkpoint folder.
 
     Where ``spark.checkpoint.dir`` is unset (tests, a single machine) a folder below the
-    warehouse takes its place.
+    warehouse takes its place; on a cluster that is an error, as the folder may be local.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_garimpo"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -27,6 +29,12 @@ def stored(df: DataFrame, at: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder where it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small(df: DataFrame, most: int = 200_000) -> DataFrame:
     """The frame with a broadcast hint where it is counted to be small; unchanged, for a shuffle join, beyond."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import traceback
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from garimpo.sources.shared import remove
+
+#: What a stage writes, a folder each.
+OUTPUTS = ("published", "failed", "unparsable")
 Step = Callable[[DataFrame], DataFrame]
 
 
@@ -42,7 +47,7 @@ def split(rows: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame, DataFram
     for name in ("error", "original_message"):  # a stage without failures may leave both out
         if name not in good.columns:
             good = good.withColumn(name, F.lit(None).cast("string"))
-    failed = good.filter("error is not null").select("error", "original_message")
+    failed = good.filter("error is not null").select("error", F.lit("ValidationError").alias("error_type"), F.lit(None).cast("string").alias("stack_trace"), "original_message")
     return good.filter("error is null").drop("error", "original_message"), failed, rows.filter("unparsable").select("original_message")
 
 
@@ -50,13 +55,22 @@ def run(stream: DataFrame, schema: str, stage: Stage, out: str, checkpoint: str)
     """Run a stage over all that is there and stop.
 
     Each batch writes its own folder, so a batch that is delivered again overwrites itself.
-    Errors of the job as a whole end the query and stay with it.
+    Where a batch breaks the stage, all its messages go to the failed ones with the error's type
+    and stack trace, and the stream goes on.
     """
 
     def one(batch: DataFrame, number: int) -> None:
         rows = parsed(batch, schema).persist()
-        for name, part in zip(("published", "failed", "unparsable"), split(rows, stage)):
-            part.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        try:
+            parts = split(rows, stage)
+            for name, part in zip(OUTPUTS, parts):
+                part.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        except Exception as e:  # whatever the stage's own code raises
+            trace = [F.lit(x).cast("string") for x in (str(e)[:2000], type(e).__name__, traceback.format_exc()[:8000])]
+            failed = rows.filter("not unparsable").select(trace[0].alias("error"), trace[1].alias("error_type"), trace[2].alias("stack_trace"), "original_message")
+            remove(batch.sparkSession, f"{out}/published/batch={number}")  # what a part of the batch may have left
+            failed.write.mode("overwrite").parquet(f"{out}/failed/batch={number}")
+            rows.filter("unparsable").select("original_message").write.mode("overwrite").parquet(f"{out}/unparsable/batch={number}")
         rows.unpersist()
 
     query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -157,3 +157,78 @@ def test_names_with_and_without_first_words(spark, few, monkeypatch):
     places = spark.createDataFrame([("Nova Trento",), ("Nova Veneza",), ("São José",), ("São José do Cedro",), ("",)], "name string")
     got = {r.id: r.names for r in models.named(texts, "id", "text", places).collect()}
     assert got == {1: ["Nova Trento", "Nova Veneza"], 4: ["São José", "São José do Cedro"]}
+
+
+def test_load_reads_files_or_pages(spark, tmp_path):
+    import json
+
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "a.json").write_text(json.dumps([{"portal": "p", "title": "t1"}, {"portal": "q", "title": "t2"}]))
+    (tmp_path / "in" / "deep" / "b.json").write_text(json.dumps({"portal": "p", "title": "t3"}))
+    (tmp_path / "in" / "bad.json").write_text("{no json")
+    (tmp_path / "in" / "c.txt").write_text("[]")
+    got = articles.load(spark, {"folder_path": str(tmp_path / "in"), "entity_type": "noticia"})
+    assert sorted((r.title, r.entity_type) for r in got.collect()) == [("t1", "noticia"), ("t2", "noticia"), ("t3", "noticia")]
+    assert sum(r._bad is not None for r in articles.scan_json(spark, str(tmp_path / "in")).collect()) == 1
+    pages = spark.createDataFrame([("x", "2024-01-01"), ("y", "2024-01-02")], "title string, d string").select("title", F.to_date("d").alias("date_publication"))
+    titles = lambda request: sorted(r.title for r in articles.load(spark, request, pages).collect())
+    assert titles({"date": "2024-01-02"}) == ["y"] and titles({"collect_all": True, "date": "2024-01-02"}) == ["x", "y"] and titles({}) == ["x", "y"]
+
+
+def test_report_export_is_lines_of_json(spark, tmp_path):
+    import json
+
+    rows = [("a", 1), ("b", 2)]
+    for _ in range(2):  # written anew, not added to
+        articles.export_report(spark.createDataFrame(rows, "portal string, n int"), str(tmp_path / "out"))
+    got = [json.loads(line) for f in (tmp_path / "out").glob("part-*") for line in f.read_text().splitlines()]
+    assert sorted((r["portal"], r["n"]) for r in got) == rows
+
+
+def test_target_day(spark):
+    from garimpo.operators.requests import target_day
+
+    df = spark.createDataFrame([("05/02/2024",), ("31/02/2024",), ("2024-02-05",), (None,), ("",)], "t string")
+    assert [str(r[0]) for r in df.select(target_day(F.col("t"), F.lit("2024-03-01").cast("date"))).collect()] == ["2024-02-05"] + ["2024-02-29"] * 4
+
+
+def test_strict_types(spark):
+    from garimpo.functions.coerce import fits, is_exactly
+
+    df = spark.createDataFrame([("12", 12, True, 1.5)], "s string, i int, b boolean, d double")
+    kinds = {"s": "text", "i": "integer", "b": "boolean", "d": "double precision"}
+    row = df.select(*[is_exactly(df, c, k).alias(f"{c}_{k.split()[0]}") for c in df.columns for k in kinds.values()], fits(F.col("s"), "integer").alias("loose")).first()
+    assert {k for k, v in row.asDict().items() if v} == {"s_text", "i_integer", "b_boolean", "d_double", "loose"}
+
+
+def test_a_batch_delivered_again_is_no_second_result(spark, tmp_path):
+    from garimpo.streaming import stages
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text('{"id": 1}\n{"id": 2}\nno json\n')
+    stage = stages.Stage(lambda df: df.withColumn("error", F.when(F.col("id") == 2, "two")))
+    run = lambda: stages.run(stages.messages(spark, str(tmp_path / "in")), "id long", stage, str(tmp_path / "out"), str(tmp_path / "check"))
+    run()
+    run()  # nothing new
+    for f in (tmp_path / "check" / "commits").glob("[!.]*"):  # as if the stream had died before its commit
+        f.unlink()
+    for f in (tmp_path / "check" / "commits").glob(".*"):
+        f.unlink()
+    run()
+    assert [stages.read_out(spark, str(tmp_path / "out"), x).count() for x in ("published", "failed", "unparsable")] == [1, 1, 1]
+    failed = stages.read_out(spark, str(tmp_path / "out"), "failed").first()
+    assert (failed.error, failed.error_type, failed.stack_trace) == ("two", "ValidationError", None)
+
+
+def test_a_batch_that_breaks_the_stage_goes_to_the_dead_letters(spark, tmp_path):
+    from garimpo.streaming import stages
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text('{"id": 1}\n{"id": 0}\n')
+    (tmp_path / "in" / "2.txt").write_text('{"id": 4}\n')
+    stage = stages.Stage(lambda df: df.withColumn("x", F.when(F.col("id") == 0, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("id") * 2)))
+    stages.run(stages.messages(spark, str(tmp_path / "in")), "id long", stage, str(tmp_path / "out"), str(tmp_path / "check"))
+    out = lambda name: stages.read_out(spark, str(tmp_path / "out"), name)
+    assert [r.x for r in out("published").collect()] == [8]
+    failed = out("failed").collect()
+    assert len(failed) == 2 and all("broken row" in r.error and r.error_type and r.stack_trace for r in failed)
