@@ -125,8 +125,8 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def candidates(text: Column) -> Column:
-    """Array of candidates with their votes and features."""
+def candidates(text: Column, gazetteer: dict[str, str] = GAZETTEER) -> Column:
+    """Array of candidates with their votes and features; ``gazetteer`` has a pattern for each kind."""
 
     def judged(kind: str) -> Column:
         loose, strict = KINDS[kind]
@@ -138,7 +138,7 @@ def candidates(text: Column) -> Column:
             return F.struct(
                 F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
                 F.when(body.rlike(strict), 1).otherwise(-1).alias("v_pattern"),
-                F.when(body.rlike(GAZETTEER[kind]), 1).otherwise(0).alias("v_gazetteer"),
+                F.when(body.rlike(gazetteer[kind]), 1).otherwise(0).alias("v_gazetteer"),
                 F.when(left.rlike(CUES[kind]), 1).when(left.rlike(AGAINST), -1).otherwise(0).alias("v_context"),
                 F.concat(F.lit(f"{kind}:len"), F.least(F.floor(n / 8), F.lit(6)).cast("string")).alias("f_len"),
                 F.concat(F.lit(f"{kind}:digits"), share.cast("string")).alias("f_digits"),
@@ -216,13 +216,14 @@ def classifier(found: DataFrame) -> dict[str, float]:
     return weights
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, gazetteer: dict[str, str] = GAZETTEER) -> DataFrame:
     """One row per document: base counts, ``base_sha256`` and ``spans``, all spans as text.
 
     Spans are ``kind:start:end`` in code points, end exclusive; base kinds in the order email,
     ip, card, phone, then the kinds of ``KINDS``; by start within a kind.  Added spans that
-    touch a base span are left to it.  Null text counts as empty.  Rows that repeat an
-    identifier are rows of their own; without candidates nothing is added.
+    touch a base span are left to it.  ``n_spans`` counts all.  Null text counts as empty.  Rows that
+    repeat an identifier are rows of their own; without candidates nothing is added; even odds
+    add nothing.  Texts of any length are searched whole, no pattern backtracks over a run.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = base_spans(text)
@@ -230,7 +231,7 @@ def scan(docs: DataFrame) -> DataFrame:
         docs.select(
             F.col("doc_id"),
             *[F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(k) for k, c in base.items()],
-            candidates(text).alias("cands"),
+            candidates(text, gazetteer).alias("cands"),
         )
     )
     weights = classifier(found)
@@ -245,8 +246,7 @@ def scan(docs: DataFrame) -> DataFrame:
     every = F.concat(*[F.col(k) for k in base])
     accepted = F.filter(
         "cands",
-        lambda c: (odds(c) > 0) & (c["v_pattern"] + c["v_gazetteer"] + c["v_context"] > 0)
-        & ~F.exists(every, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
+        lambda c: (odds(c) > 0) & ~F.exists(every, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
     rows = found.withColumn("added", accepted)
 
@@ -261,4 +261,5 @@ def scan(docs: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.concat(*named.values()), ","), 256).alias("base_sha256"),
         F.array_join(F.concat(*named.values(), extra), ",").alias("spans"),
         F.size("added").cast("long").alias("n_added"),
+        reduce(Column.__add__, [F.size(k) for k in (*base, "added")]).cast("long").alias("n_spans"),
     )
