@@ -5,9 +5,9 @@ most five shingles; texts into windows of eight shingles, four apart, so a segme
 stands in a text lies whole in one window and makes up a quarter of it at least.  Each
 window gets ``BANDS`` MinHash values, every one a band of its own: the chance that a window
 with Jaccard similarity 1/4 shares no band with the segment is (3/4)**24, about 0.001, and
-(5/9)**24, under 10**-6, for four shingles of five.  Bands only agree in a shingle that both
-have, so windows without any template shingle are skipped before hashing; none of them could
-be retrieved.  What is retrieved is verified by the exact share of the template's shingles.
+(5/9)**24, under 10**-6, for four shingles of five.  Texts without any word that a match needs
+are not cut up; of the others every window is hashed and the bands alone retrieve.  What is
+retrieved is verified by the exact share of the template's shingles.
 """
 
 from __future__ import annotations
@@ -29,6 +29,12 @@ TEMPLATES = {
     "GPL-text": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
     "CC-BY-NC-4.0": "licensed under cc by nc 4 0",
     "CC-BY-SA-4.0": "licensed under cc by sa 4 0",
+    "ISC-text": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "Apache-text": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "Unlicense": "this is free and unencumbered software released into the public domain",
+    "MIT-grant": "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",
+    "LGPL-text": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
+    "AGPL-text": "under the terms of the gnu affero general public license as published by the free software foundation",
     "BSD-text": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "MPL-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "All-rights-reserved": "all rights reserved",
@@ -96,12 +102,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, contained: floa
     holds = F.lower(F.col("text").cast("string")).rlike("|".join(anchors(templates, contained)))
     texts = docs.filter(holds).select("doc_id", F.explode(F.array(words(F.col("text")))).alias("w")).filter(F.size("w") > 1)
     pairs = texts.select("doc_id", F.explode(F.array(F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat(a, F.lit(" "), b)))).alias("sh"))
-    hit = F.filter(F.transform("sh", lambda s, i: F.when(s.isin(known), F.floor(i / STRIDE).cast("int"))), lambda x: x.isNotNull())
-    marked = pairs.select("doc_id", "sh", F.explode(F.array(F.array_distinct(hit))).alias("blocks")).filter(F.size("blocks") > 0)
-    numbers = F.array_distinct(F.concat("blocks", F.filter(F.transform("blocks", lambda b: b - 1), lambda b: b >= 0)))
-    windows = marked.select("doc_id", "sh", F.explode(numbers).alias("n")).select(
-        "doc_id", F.array_distinct(F.array_intersect("sh", F.array(*map(F.lit, known)))).alias("held"),
-        F.explode(_signature(_hashes(F.array_distinct(F.slice("sh", F.col("n") * STRIDE + 1, F.lit(WINDOW)))))).alias("s"),
+    held = F.array_distinct(F.array_intersect("sh", F.array(*map(F.lit, known)))).alias("held")
+    last = F.greatest(F.lit(0), F.ceil((F.size("sh") - WINDOW) / STRIDE)).cast("int")
+    each = pairs.select("doc_id", held, F.explode(F.array(_hashes(F.col("sh")))).alias("h"), F.sequence(F.lit(0), last).alias("at"))
+    windows = each.select("doc_id", "held", "h", F.explode("at").alias("n")).select(
+        "doc_id", "held", F.explode(_signature(F.array_distinct(F.slice("h", F.col("n") * STRIDE + 1, F.lit(WINDOW))))).alias("s")
     )
     retrieved = windows.join(
         F.broadcast(bands), (F.col("s.band") == F.col("t_band")) & (F.col("s.low") == F.col("t_low"))

@@ -474,6 +474,27 @@ def test_licenses_edges(spark, edge):
     assert licenses.scan(edge).count() == 0 and licenses.scan(edge.limit(0)).count() == 0
 
 
+def test_bands_retrieve_nearly_all_that_is_contained(spark):
+    """Recall of the bands against the exact share, over templates with words lost, changed and put in."""
+    rnd, rows = random.Random(6), []
+    for i in range(600):
+        w = rnd.choice(list(licenses.TEMPLATES.values())).split()
+        for _ in range(rnd.randint(0, 2)):
+            w[rnd.randrange(len(w))] = rnd.choice(["x", "y z", ""])
+        fill = lambda: " ".join(rnd.choice("the of software license code a b") for _ in range(rnd.randint(0, 40)))
+        rows.append((i, f"{fill()} {' '.join(w)} {fill()}"))
+    got = {(r.doc_id, r.license): r.n_found for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {}
+    for i, t in rows:
+        own = set(licenses.template_shingles(" ".join(re.findall("[a-z0-9]+", t.lower()))))
+        for name, template in licenses.TEMPLATES.items():
+            s = set(licenses.template_shingles(template))
+            if len(own & s) >= math.ceil(len(s) * licenses.CONTAINED - 1e-9):
+                want[i, name] = len(own & s)
+    assert set(got) <= set(want) and all(want[k] == n for k, n in got.items())
+    assert len(want) > 300 and len(got) >= 0.995 * len(want)
+
+
 # Language ----------------------------------------------------------------------------------------
 
 
