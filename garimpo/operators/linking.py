@@ -11,8 +11,8 @@ from garimpo.sources.shared import small, stored
 
 #: Similarity that a name has to pass, and that tender numbers and modalities have to pass.
 NAME_LEAST, LINK_LEAST = 0.4, 0.5
-#: Rare trigrams that a candidate pair must share, where it must share as many in all.
-MEETINGS = 3
+#: Rare trigrams that a candidate pair must share at most, and how much more of the index than for one they may read.
+MEETINGS, MORE = 3, 2
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[str] | None = None) -> DataFrame:
@@ -22,18 +22,23 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[s
     equal.  Two sets of a similarity above ``least`` have more than that share of either in
     common, t of ``left``'s n at least, so m of them lie among its first n - t + m in any order; those
     that are rare in ``right`` come first, which keeps what all rows have (years, padding) out
-    of the join.  Pairs of unlike sizes, or that meet less than m times, are left out; whole sets decide.
+    of the join.  Every text takes the largest m for which the further trigrams are not too common.
+    Pairs of unlike sizes, or that meet less than m times, are left out; whole sets decide.
     """
     scope = scope or []
     la = stored(left.select("a", *scope, "text").distinct().select("*", trigrams(F.col("text")).alias("ga")))
     lb = stored(right.select("b", *scope, trigrams(F.col("text")).alias("gb")))
     offered = lb.select("b", *scope, F.size("gb").alias("nb"), F.explode("gb").alias("g"))
     often = stored(offered.groupBy("g").agg(F.count("*").alias("df")))
-    order = Window.partitionBy("a", *scope, "text").orderBy(F.coalesce("df", F.lit(0)), "g")
+    own = Window.partitionBy("a", *scope, "text")
+    order = own.orderBy(F.coalesce("df", F.lit(0)), "g")
     asked = (
         la.select("a", *scope, "text", F.size("ga").alias("na"), F.explode("ga").alias("g")).join(small(often), "g", "left")
-        .withColumn("k", F.row_number().over(order)).withColumn("t", F.floor(F.col("na") * F.lit(least) + 1e-9) + 1).withColumn("m", F.least("t", F.lit(MEETINGS)))
-        .filter((F.col("k") <= F.col("na") - F.col("t") + F.col("m")) & F.col("df").isNotNull())
+        .withColumn("k", F.row_number().over(order) - (F.col("na") - F.floor(F.col("na") * F.lit(least) + 1e-9) - 1))
+        .withColumn("met", F.sum(F.coalesce("df", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("one", F.max(F.when(F.col("k") <= 1, F.col("met"))).over(own))
+        .withColumn("m", F.max(F.when((F.col("k") <= 1) | (F.col("k") <= MEETINGS) & (F.col("met") <= MORE * F.col("one")), F.col("k"))).over(own))
+        .filter((F.col("k") <= F.col("m")) & F.col("df").isNotNull())
     )
     like = F.least("na", "nb") > least * F.greatest("na", "nb") - 1e-6
     met = asked.select("a", "na", "m", *scope, "g").join(offered, ["g", *scope]).filter(like)

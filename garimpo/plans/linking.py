@@ -1,7 +1,5 @@
 """Queries of the linker, over stand-ins made from the driver's tables."""
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from garimpo.operators import linking as L
@@ -11,8 +9,7 @@ from garimpo.registry import query
 from garimpo.sources.shared import stored
 
 # Tenders are orders; modality is the priority, unit the customer, body (nation, segment), place the nation.
-# News items are orders, their tender number written in another way: in the SQL and the queries that it
-# checks those with key mod 20 = 1, in the queries named ``_all``, which have no SQL, every one.
+# News items are orders too, their tender number written in another way.
 STANDIN = """
     WITH places AS (SELECT n_nationkey AS id_municipio, n_name AS nome_municipio FROM nation),
     units AS (SELECT c_custkey AS id_unidade_gestora, c_nationkey * 10 + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'MACHINERY' THEN 3 ELSE 4 END AS id_ente,
@@ -21,15 +18,15 @@ STANDIN = """
     mods AS (SELECT id_modalidade_licitacao, descricao FROM (VALUES (1, '1-URGENT'), (2, '2-HIGH'), (3, '3-MEDIUM'), (4, '4-NOT SPECIFIED'), (5, '5-LOW')) v(id_modalidade_licitacao, descricao)),
     procs AS (SELECT o_orderkey AS id_processo_licitatorio, o_orderkey || '/' || year(o_orderdate) AS numero_edital, ascii(o_orderpriority) - 48 AS id_modalidade_licitacao, o_custkey AS id_unidade_gestora FROM orders),
     base AS (SELECT o_orderkey AS id_noticia, o_orderkey || '/' || year(o_orderdate) AS e, (o_orderkey - 1) // 20 AS k, ascii(o_orderpriority) - 48 AS m, c_nationkey, c_name || ' ' || c_mktsegment AS t
-             FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 20 = 1),
+             FROM orders JOIN customer ON o_custkey = c_custkey),
     news AS (SELECT id_noticia,
                CASE WHEN k % 37 = 0 THEN 'nan' WHEN k % 4 = 0 THEN '00' || e WHEN k % 4 = 1 THEN 'PL ' || e WHEN k % 4 = 2 THEN substr(e, 2) ELSE e END AS numero_edital,
                CASE WHEN k % 5 <> 0 THEN m END AS id_modalidade_licitacao, CASE WHEN k % 41 <> 0 THEN c_nationkey END AS id_municipio,
                CASE WHEN k % 3 <> 0 THEN t END AS objeto FROM base)"""
 
 
-def standin(spark, sf_dir, every=False):
-    """(news, processes, modalities, units, bodies, places) as DataFrames; ``every`` order is a news item, or those of the SQL."""
+def standin(spark, sf_dir):
+    """(news, processes, modalities, units, bodies, places, texts) as DataFrames."""
     customer, orders, nation = (table(spark, sf_dir, t) for t in ("customer", "orders", "nation"))
     segment = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in (("AUTOMOBILE", 0), ("BUILDING", 1), ("FURNITURE", 2), ("MACHINERY", 3)) for x in kv]), F.col("c_mktsegment")), F.lit(4))
     ente = (F.col("c_nationkey") * 10 + segment).alias("id_ente")
@@ -42,7 +39,7 @@ def standin(spark, sf_dir, every=False):
     mod = F.substring("o_orderpriority", 1, 1).cast("int")
     procs = orders.select(F.col("o_orderkey").alias("id_processo_licitatorio"), edital.alias("numero_edital"), mod.alias("id_modalidade_licitacao"), F.col("o_custkey").alias("id_unidade_gestora"))
     k = F.expr("(o_orderkey - 1) div 20")
-    news = (orders if every else orders.filter("o_orderkey % 20 = 1")).join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    news = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id_noticia"),
         F.when(k % 37 == 0, "nan").when(k % 4 == 0, F.concat(F.lit("00"), edital)).when(k % 4 == 1, F.concat(F.lit("PL "), edital))
         .when(k % 4 == 2, F.expr("substring(concat_ws('/', o_orderkey, year(o_orderdate)), 2)")).otherwise(edital).alias("numero_edital"),
@@ -52,32 +49,38 @@ def standin(spark, sf_dir, every=False):
     return news, procs, mods, units.drop("texto"), bodies, places, units.select("id_unidade_gestora", "texto")
 
 
+#: The pairs that may be candidates: those that share about half of their parts or contain one another.
+PAIRS = "pairs JOIN asked USING (id_noticia) JOIN offered USING (id_processo_licitatorio)"
 CANDIDATES = f"""{STANDIN},
     asked AS (SELECT id_noticia, id_municipio, numero_edital AS asked, objeto, coalesce(descricao, '') AS am, {TRGM_SQL.format('numero_edital')} AS ga, {TRGM_SQL.format('descricao')} AS gm
               FROM news LEFT JOIN mods USING (id_modalidade_licitacao) WHERE id_municipio IS NOT NULL AND lower(numero_edital) NOT IN ('nan', 'null', 'none', '')),
     offered AS (SELECT id_processo_licitatorio, numero_edital, descricao, id_municipio, id_unidade_gestora, {TRGM_SQL.format('numero_edital')} AS gp, {TRGM_SQL.format('descricao')} AS gd
                 FROM procs JOIN mods USING (id_modalidade_licitacao) JOIN units USING (id_unidade_gestora) JOIN bodies USING (id_ente)),
-    scored AS (SELECT id_noticia, id_processo_licitatorio, numero_edital, descricao, id_municipio, id_unidade_gestora, objeto, asked, am, {sim_sql('gp', 'ga')} AS se, {sim_sql('gd', 'gm')} AS sm
-               FROM asked JOIN offered USING (id_municipio)),
+    shared AS (SELECT id_noticia, id_processo_licitatorio, count(*) AS c FROM (SELECT id_noticia, id_municipio, unnest(ga) AS g FROM asked)
+               JOIN (SELECT id_processo_licitatorio, id_municipio, unnest(gp) AS g FROM offered) USING (id_municipio, g) GROUP BY ALL),
+    pairs AS (SELECT id_noticia, id_processo_licitatorio FROM shared JOIN asked USING (id_noticia) JOIN offered USING (id_processo_licitatorio) WHERE c > 0.49 * (len(ga) + len(gp) - c)
+              UNION SELECT id_noticia, id_processo_licitatorio FROM asked JOIN offered USING (id_municipio) WHERE numero_edital ILIKE '%' || asked || '%'),
+    scored AS (SELECT id_noticia, id_processo_licitatorio, numero_edital, descricao, offered.id_municipio, id_unidade_gestora, objeto, asked, am, {sim_sql('gp', 'ga')} AS se, {sim_sql('gd', 'gm')} AS sm
+               FROM {PAIRS}),
     found AS (SELECT *, (se::DOUBLE + sm::DOUBLE) / 2 AS st FROM scored
               WHERE (se > 0.5::FLOAT OR numero_edital ILIKE '%' || asked || '%') AND (am = '' OR sm > 0.5::FLOAT)),
     rk AS (SELECT *, row_number() OVER (PARTITION BY id_noticia ORDER BY st DESC, se DESC, id_processo_licitatorio) AS rank FROM found)"""
 
 
-def found(spark, sf_dir, every=False):
-    news, procs, mods, units, bodies, *_ = standin(spark, sf_dir, every)
+def found(spark, sf_dir):
+    news, procs, mods, units, bodies, *_ = standin(spark, sf_dir)
     return L.candidates(news, procs, mods, units, bodies)
 
 
 @query("link_candidates", f"{CANDIDATES} SELECT id_noticia, id_processo_licitatorio, numero_edital, round(se::DOUBLE, 6) AS score_edital, round(sm::DOUBLE, 6) AS score_modalidade, round(st, 6) AS score_total FROM found")
-def link_candidates(spark, sf_dir, every=False):
+def link_candidates(spark, sf_dir):
     scores = [F.round(c, 6).alias(c) for c in ("score_edital", "score_modalidade", "score_total")]
-    return found(spark, sf_dir, every).select("id_noticia", "id_processo_licitatorio", "numero_edital", *scores)
+    return found(spark, sf_dir).select("id_noticia", "id_processo_licitatorio", "numero_edital", *scores)
 
 
 @query("link_top3", f"{CANDIDATES} SELECT id_noticia, id_processo_licitatorio, rank::INTEGER AS rank FROM rk WHERE rank <= 3")
-def link_top3(spark, sf_dir, every=False):
-    return L.ranked(found(spark, sf_dir, every), 3).select("id_noticia", "id_processo_licitatorio", "rank")
+def link_top3(spark, sf_dir):
+    return L.ranked(found(spark, sf_dir), 3).select("id_noticia", "id_processo_licitatorio", "rank")
 
 
 @query("news_city", """SELECT o_orderkey AS id_noticia, min(n_nationkey) AS id_municipio FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderkey % 7 <> 0
@@ -109,24 +112,24 @@ def resolve_name(spark, sf_dir):
     return L.resolve_names(names, nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("place")))
 
 
-def info(spark, sf_dir, every=False):
+def info(spark, sf_dir):
     """(candidates with details, objects)"""
-    news, procs, mods, units, bodies, places, texts = standin(spark, sf_dir, every)
+    news, procs, mods, units, bodies, places, texts = standin(spark, sf_dir)
     cands = stored(L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio"))
     known = L.details(cands, procs, mods, units, bodies, places).join(texts, "id_unidade_gestora")
     return cands.join(known, "id_processo_licitatorio"), news.select("id_noticia", "objeto")
 
 
 @query("candidate_info", f"{CANDIDATES} SELECT DISTINCT id_processo_licitatorio, numero_edital, nome_municipio, descricao, id_unidade_gestora FROM found JOIN places USING (id_municipio)")
-def candidate_info(spark, sf_dir, every=False):
-    news, procs, mods, units, bodies, places, _ = standin(spark, sf_dir, every)
-    return L.details(found(spark, sf_dir, every), procs, mods, units, bodies, places).select("id_processo_licitatorio", "numero_edital", "nome_municipio", "descricao", "id_unidade_gestora")
+def candidate_info(spark, sf_dir):
+    news, procs, mods, units, bodies, places, _ = standin(spark, sf_dir)
+    return L.details(found(spark, sf_dir), procs, mods, units, bodies, places).select("id_processo_licitatorio", "numero_edital", "nome_municipio", "descricao", "id_unidade_gestora")
 
 
 @query("dup_candidates", f"""{CANDIDATES} SELECT id_noticia, count(*) AS n, count(*) > 1 AND count(DISTINCT (lower(trim(numero_edital)), lower(trim(nome_municipio)), lower(trim(descricao)))) = 1 AS duplicates
        FROM (SELECT id_noticia, split_part(numero_edital, '/', 2) AS numero_edital, nome_municipio, descricao FROM found JOIN places USING (id_municipio)) GROUP BY 1""")
-def dup_candidates(spark, sf_dir, every=False):
-    known, _ = info(spark, sf_dir, every)
+def dup_candidates(spark, sf_dir):
+    known, _ = info(spark, sf_dir)
     return L.duplicated(known.withColumn("numero_edital", F.substring_index("numero_edital", "/", -1)))
 
 
@@ -141,8 +144,8 @@ DECIDED = f"""{CANDIDATES},
 
 
 @query("disambiguate", f"{DECIDED} SELECT id_noticia, chosen FROM chosen")
-def disambiguate(spark, sf_dir, every=False):
-    return L.disambiguate(*info(spark, sf_dir, every))
+def disambiguate(spark, sf_dir):
+    return L.disambiguate(*info(spark, sf_dir))
 
 
 LINKED = f"""{DECIDED},
@@ -150,22 +153,18 @@ LINKED = f"""{DECIDED},
                  CASE WHEN n = 1 THEN least_id ELSE chosen END AS id_processo_licitatorio, coalesce(n, 0)::BIGINT AS n_candidates FROM news LEFT JOIN chosen USING (id_noticia))"""
 
 
-def linked(spark, sf_dir, every=False):
-    cands, objects = info(spark, sf_dir, every)
-    news = standin(spark, sf_dir, every)[0]
+def linked(spark, sf_dir):
+    cands, objects = info(spark, sf_dir)
+    news = standin(spark, sf_dir)[0]
     return L.decide(news, cands, L.disambiguate(cands, objects))
 
 
 @query("link_news", f"{LINKED} SELECT * FROM linked")
-def link_news(spark, sf_dir, every=False):
-    return linked(spark, sf_dir, every)
+def link_news(spark, sf_dir):
+    return linked(spark, sf_dir)
 
 
 @query("apply_links", f"""{LINKED} SELECT id_noticia, numero_edital, coalesce(linked.id_processo_licitatorio, CASE WHEN id_noticia % 3 = 0 THEN -id_noticia END) AS id_processo_licitatorio FROM news JOIN linked USING (id_noticia)""")
-def apply_links(spark, sf_dir, every=False):
-    news = standin(spark, sf_dir, every)[0].select("id_noticia", "numero_edital", F.when(F.col("id_noticia") % 3 == 0, -F.col("id_noticia")).alias("id_processo_licitatorio"))
-    return L.apply_links(news, linked(spark, sf_dir, every))
-
-
-for _f in (link_candidates, link_top3, candidate_info, dup_candidates, disambiguate, link_news, apply_links):
-    query(f"{_f.__name__}_all")(partial(_f, every=True))
+def apply_links(spark, sf_dir):
+    news = standin(spark, sf_dir)[0].select("id_noticia", "numero_edital", F.when(F.col("id_noticia") % 3 == 0, -F.col("id_noticia")).alias("id_processo_licitatorio"))
+    return L.apply_links(news, linked(spark, sf_dir))
