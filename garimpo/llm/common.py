@@ -53,6 +53,10 @@ class Scratch:
     def stored(self, df: DataFrame) -> DataFrame:
         return stored(df, f"{self.base}/{uuid.uuid4().hex}")
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """A result, written outside the folder, that outlives the call."""
+        return stored(df)
+
     def clear(self) -> None:
         remove(self.spark, self.base)
 

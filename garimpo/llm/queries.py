@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.llm import exact_dedup, jaccard_join, langid, licenses, mixing, packing, pii, quality, repeats, topk
+from garimpo.llm import collocations, exact_dedup, jaccard_join, langid, licenses, mixing, packing, pii, quality, repeats, topk
 from garimpo.llm.common import read
 
 
@@ -50,6 +50,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(repeats.kept_texts(read(spark, sf_dir, "documents"))).drop("kept_text")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_ngram_jaccard_join,
     op2_weighted_mix,
@@ -61,6 +65,7 @@ OPERATORS = (
     op8_exact_dedup,
     op9_crf_language_id,
     op10_suffix_array_dedup,
+    op12_phrase_collocations,
 )
 
 
@@ -73,6 +78,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_weighted_mix": mixing.ORACLE,
         "op4_exact_topk": topk.ORACLE,
         "op7_license_scan": licenses.oracle(),
+        "op12_phrase_collocations": collocations.ORACLE,
         "op8_exact_dedup": r"""
             WITH n AS (
               SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
