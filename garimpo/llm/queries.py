@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.llm import collocations, exact_dedup, jaccard_join, langid, licenses, mixing, packing, pii, quality, repeats, topk
+from garimpo.llm import collocations, conversations, exact_dedup, jaccard_join, langid, licenses, mixing, packing, pii, quality, repeats, topk, warc
 from garimpo.llm.common import read
 
 
@@ -50,10 +50,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(repeats.kept_texts(read(spark, sf_dir, "documents"))).drop("kept_text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(read(spark, sf_dir, "conversations"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 OPERATORS = (
     op1_ngram_jaccard_join,
     op2_weighted_mix,
@@ -65,7 +73,9 @@ OPERATORS = (
     op8_exact_dedup,
     op9_crf_language_id,
     op10_suffix_array_dedup,
+    op11_conversation_repair,
     op12_phrase_collocations,
+    op13_warc_transactions,
 )
 
 
@@ -78,7 +88,9 @@ def oracle_sql() -> dict[str, str]:
         "op2_weighted_mix": mixing.ORACLE,
         "op4_exact_topk": topk.ORACLE,
         "op7_license_scan": licenses.oracle(),
+        "op11_conversation_repair": conversations.oracle(),
         "op12_phrase_collocations": collocations.ORACLE,
+        "op13_warc_transactions": warc.ORACLE,
         "op8_exact_dedup": r"""
             WITH n AS (
               SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
