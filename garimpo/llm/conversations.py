@@ -404,11 +404,14 @@ def oracle() -> str:
                                             lambda c, b: xor(t.t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT)) % 20 AS kind FROM conversations, t),
         d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
                 CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM k, (SELECT unnest([1, 2]) AS again) WHERE kind <> 0 AND (again = 1 OR kind = 3)),
-        m AS (SELECT *, left(role, 1) AS i, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS later,
-                NOT regexp_matches(text, '[.!?][ 	-]*$') AS open, row_number() OVER w AS at, lag(left(role, 1)) OVER w AS before FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))),
+        m AS (SELECT *, left(role, 1) AS i, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS later,
+                NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS open, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before
+              FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS place FROM d)),
         g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (later AND NOT blank) AS duplicate,
                 count(*) FILTER (open AND NOT later AND NOT blank) AS truncated, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal,
-                list_reduce(list({{'i': i, 'gone': blank OR later, 'p': CASE WHEN open THEN {CUT} ELSE 0 END::BIGINT, 'text': text, 'line': role || ':' || text}} ORDER BY at), lambda x, r: {step}, {start}) AS x
+                list_reduce(list({{'i': i, 'gone': blank OR later, 'p': CASE WHEN open THEN {CUT} ELSE 0 END::BIGINT, 'text': text, 'line': role || ':' || text}} ORDER BY place), lambda x, r: {step}, {start}) AS x
               FROM m GROUP BY 1),
         b AS (SELECT * EXCLUDE (x), list_min([x[1], x[4]]) AS z FROM g)
         SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
