@@ -239,7 +239,7 @@ def frequent(keys: np.ndarray, n: np.ndarray, least: list[int]) -> tuple[np.ndar
                     put(at[starts[good]], j + 1, sums[good])
             continue
         key = keys[d, at]
-        sample = key[:: len(at) // 999]
+        sample = key[:: len(at) // 999 + 1]
         pivot = np.partition(sample, len(sample) // 2)[len(sample) // 2]
         todo += [(at[key < pivot], d), (at[key > pivot], d)]
         equal = at[key == pivot]

@@ -359,7 +359,7 @@ def digests(rows: DataFrame) -> DataFrame:
 
     ``conv_id, gaps, blank, duplicate, truncated, illegal, cost`` (longs), ``audit, repaired_sha256``.  Rows are ordered by turn, null first;
     of equal turns by role, then the MD5 of the text.  Nulls are one space in every column but the order; rows without ``conv_id`` are one
-    conversation.  Repeated rows are duplicates.  A conversation none of whose rows is left has zeros, an empty audit and the hash of the empty
+    conversation.  Repeated rows are duplicates; an empty role has no initial and is never kept.  A conversation none of whose rows is left has zeros, an empty audit and the hash of the empty
     string.  Texts and conversations of any length are taken whole; other columns are not read; an empty table gives no rows.
     """
     scratch = Scratch(rows.sparkSession)
