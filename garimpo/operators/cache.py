@@ -27,39 +27,76 @@ def settings(config: Column) -> Column:
     return F.map_filter(config, lambda k, v: ~k.isin(*FLAGS) & v.isNotNull())
 
 
+def entry(e: Column) -> Column:
+    """One setting (key and value) as text."""
+    return F.to_json(F.struct(e["key"], e["value"]))
+
+
+def distinct_configs(configs: DataFrame) -> DataFrame:
+    """``collect_id, has``: each map of settings once, with its earliest collection."""
+    known = configs.select("collect_id", settings(F.col("config")).alias("has"))
+    return known.groupBy(canonical(F.col("has")).alias("c")).agg(F.min("collect_id").alias("collect_id"), F.first("has").alias("has")).drop("c")
+
+
+def by_setting(known: DataFrame) -> DataFrame:
+    """``s, collect_id, has``: stored configs under each of their settings."""
+    return known.select(F.explode(F.transform(F.map_entries("has"), entry)).alias("s"), "collect_id", "has")
+
+
+def asked_settings(asked: DataFrame) -> DataFrame:
+    """``hash, config, s``: requests (``hash, config``) under each of their settings."""
+    return asked.select("hash", "config", F.explode(F.transform(F.map_entries("config"), entry)).alias("s"))
+
+
+def rarest(each: DataFrame, often: DataFrame) -> DataFrame:
+    """``hash, s, config``: of each request the setting that the fewest stored configs have (``often``: ``s, n``).
+
+    A setting that no config has is the rarest of all: nothing holds the request.
+    """
+    return each.join(often, "s", "left").groupBy("hash").agg(F.min_by("s", F.struct(F.coalesce("n", F.lit(0)), F.col("s"))).alias("s"), F.first("config").alias("config"))
+
+
+def held_by(rare: DataFrame, index: DataFrame) -> DataFrame:
+    """``hash, collect_id``: the earliest config below a request's rarest setting that has all its settings."""
+    held = rare.join(index, "s").filter(F.forall(F.map_entries("config"), lambda e: F.element_at(F.col("has"), e["key"]) == e["value"]))
+    return held.groupBy("hash").agg(F.min("collect_id").alias("collect_id"))
+
+
 def holding(asked: DataFrame, configs: DataFrame) -> DataFrame:
     """``hash, collect_id``: for each distinct request (``hash, config``) the earliest stored config that has all its settings.
 
     The rarest setting of a request proposes configs, whole maps decide; a request without
     settings is held by every config.
     """
-    known = configs.select("collect_id", settings(F.col("config")).alias("has"))
-    known = known.groupBy(canonical(F.col("has")).alias("c")).agg(F.min("collect_id").alias("collect_id"), F.first("has").alias("has")).drop("c")
-    entry = lambda e: F.to_json(F.struct(e["key"], e["value"]))
-    index = known.select("collect_id", "has", F.explode(F.transform(F.map_entries("has"), entry)).alias("s"))
-    often = index.groupBy("s").agg(F.count("*").alias("n"))
-    each = asked.select("hash", "config", F.explode(F.transform(F.map_entries("config"), entry)).alias("s"))
-    # A setting that no config has is the rarest of all: nothing holds the request.
-    rare = each.join(often, "s", "left").groupBy("hash").agg(F.min_by("s", F.struct(F.coalesce("n", F.lit(0)), F.col("s"))).alias("s"), F.first("config").alias("config"))
-    held = rare.join(index, "s").filter(F.forall(F.map_entries("config"), lambda e: F.element_at(F.col("has"), e["key"]) == e["value"]))
+    index = by_setting(distinct_configs(configs))
+    held = held_by(rarest(asked_settings(asked), index.groupBy("s").agg(F.count("*").alias("n"))), index)
     first = configs.agg(F.min("collect_id").alias("collect_id")).filter("collect_id is not null")
     free = asked.filter(F.size("config") == 0).select("hash").join(F.broadcast(first))  # one row
-    return held.groupBy("hash").agg(F.min("collect_id").alias("collect_id")).unionByName(free)
+    return held.unionByName(free)
+
 
+def wanted(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(requests with ``_hash`` where they look for stored records, distinct requests ``hash, config``)."""
+    look = flag(F.col("config"), "use_cache", True) & ~flag(F.col("config"), "no_cache", False)
+    rows = requests.withColumn("_hash", F.when(look, config_hash(F.col("config"))))
+    return rows, rows.filter("_hash is not null").groupBy(F.col("_hash").alias("hash")).agg(F.first(settings(F.col("config"))).alias("config"))
 
-def lookup(requests: DataFrame, configs: DataFrame, key: str = "request_id") -> DataFrame:
+
+def answered(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Requests of :func:`wanted` with ``action`` and ``collect_id`` by what is ``known`` (``hash, collect_id``)."""
+    found = rows.join(known.withColumnRenamed("hash", "_h"), F.col("_hash") == F.col("_h"), "left")
+    action = F.when(~flag(F.col("config"), "use_cache", True), "bypass").when(F.col("collect_id").isNotNull(), "hit").otherwise("miss")
+    return found.withColumn("action", action).drop("_h", "_hash")
+
+
+def lookup(requests: DataFrame, configs: DataFrame) -> DataFrame:
     """Requests with ``action`` (hit, miss, bypass) and the ``collect_id`` of a hit, the earliest stored one.
 
     A hit is a stored config that has all settings of the request, and maybe more.
     ``use_cache`` false: bypass, nothing is stored.  ``no_cache``: collected anew and stored.
     """
-    look = flag(F.col("config"), "use_cache", True) & ~flag(F.col("config"), "no_cache", False)
-    rows = requests.withColumn("_hash", F.when(look, config_hash(F.col("config"))))
-    asked = rows.filter("_hash is not null").groupBy(F.col("_hash").alias("hash")).agg(F.first(settings(F.col("config"))).alias("config"))
-    known = holding(asked, configs).withColumnRenamed("hash", "_h")
-    found = rows.join(known, F.col("_hash") == F.col("_h"), "left")
-    action = F.when(~flag(F.col("config"), "use_cache", True), "bypass").when(F.col("collect_id").isNotNull(), "hit").otherwise("miss")
-    return found.withColumn("action", action).drop("_h", "_hash")
+    rows, asked = wanted(requests)
+    return answered(rows, holding(asked, configs))
 
 
 def republish(hits: DataFrame, records: DataFrame, source: str) -> DataFrame:

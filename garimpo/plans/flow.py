@@ -22,6 +22,7 @@ from garimpo.sources.shared import shared_dir, stored
 from garimpo.streaming import cache as SC
 from garimpo.streaming import keys as SK
 from garimpo.streaming import linking as SL
+from garimpo.streaming import records as SR
 from garimpo.streaming import stages as SS
 
 
@@ -89,7 +90,7 @@ _NEEDS = "CASE WHEN p_partkey % 50 = 1 THEN p_partkey WHEN p_partkey % 5 <> 0 TH
        r(id, depth) AS (SELECT id, 0 FROM n WHERE ref IS NULL UNION ALL SELECT n.id, depth + 1 FROM n JOIN r ON n.ref = r.id WHERE depth < 20) SELECT id, depth FROM r""")
 def fk_closure(spark, sf_dir):
     n = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.expr(_NEEDS).alias("ref"))
-    return K.closure(n.select("id"), n)
+    return K.closure(n.select("id"), n, most=20)
 
 
 @query("fk_enrich_open", """WITH o AS (SELECT * FROM orders WHERE o_orderkey % 11 <> 0 AND o_custkey % 5 <> 0)
@@ -209,7 +210,8 @@ def pages(spark, sf_dir):
        f AS (SELECT page_id, href, CASE WHEN regexp_matches(href, '^[a-z]+:') THEN href WHEN starts_with(href, '/') THEN base || href ELSE base || '/' || href END AS url FROM h)
        SELECT DISTINCT page_id, split_part(url, '?', 1) AS url FROM f WHERE starts_with(href, '/t') OR starts_with(href, '/e')""")
 def page_links(spark, sf_dir):
-    return H.links(table(spark, sf_dir, "pages"), F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0), ["/t", "/e"])
+    found = H.links(table(spark, sf_dir, "pages"), F.col("url"))
+    return found.filter(F.regexp_extract("url", "^[a-z]+://[^/?#]+/([te])", 1) != "")
 
 
 @query("page_titles", rf"""SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract({_BODY}, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g')), ''), 'sem-titulo') AS title FROM pages""")
@@ -474,13 +476,29 @@ def stream_dead_letters(spark, sf_dir):
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("stream_cache", """SELECT event_type || '/' || user_id % 40 AS asked, 1 AS configs FROM events WHERE event_id % 10 <> 1 AND event_id % 10 <> 0 GROUP BY 1""")
+@query("stream_once", "SELECT min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def stream_once(spark, sf_dir):
+    """Messages named by user and type that come again in later batches: the first is published, once."""
+    e = table(spark, sf_dir, "events").withColumn("raw_data_id", F.concat_ws("/", "user_id", "event_type"))
+    path, out = shared_dir(spark), shared_dir(spark)
+    first = e.groupBy("raw_data_id").agg(F.min("event_id").alias("event_id"))
+    rest = e.select("raw_data_id", "event_id").join(first, ["raw_data_id", "event_id"], "left_anti")
+    for rows in (first, rest, first):  # files in this order
+        rows.coalesce(1).select(F.to_json(F.struct("raw_data_id", "event_id")).alias("value")).write.mode("append").text(path)
+    SS.run(SS.messages(spark, path), "raw_data_id string, event_id long", SS.Stage(lambda df: df.select("event_id", "original_message")), out, shared_dir(spark))
+    return SS.read_out(spark, out, "published")
+
+
+@query("stream_cache", """WITH r AS (SELECT event_type || '/' || user_id % 40 AS asked, event_id % 3 AS batch, bool_or(event_id % 10 = 0) AS anew FROM events WHERE event_id % 10 <> 1 GROUP BY 1, 2)
+       SELECT asked, count(*) FILTER (anew OR batch = first)::INT AS configs FROM (SELECT *, min(batch) OVER (PARTITION BY asked) AS first FROM r) GROUP BY 1""")
 def stream_cache(spark, sf_dir):
-    reqs = requests(spark, sf_dir).filter(~C.flag(F.col("config"), "no_cache", False))
+    """All events as requests in three batches: a config is stored when first asked for, and again in each batch that asks for it anew."""
+    reqs = requests(spark, sf_dir).select("request_id", F.map_entries("config").alias("config"))
     path, out = shared_dir(spark), shared_dir(spark)
-    reqs.select("request_id", F.map_entries("config").alias("config")).repartition(2).write.parquet(path)
+    for k in range(3):  # one file each, in this order
+        reqs.filter(F.col("request_id") % 3 == k).coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema("request_id long, config array<struct<key:string,value:string>>").option("maxFilesPerTrigger", 1).parquet(path).withColumn("config", F.map_from_entries("config"))
-    SC.serve(stream, out, shared_dir(spark), lambda c: c.select("collect_id", F.lit("r").alias("raw_data_id")))
+    SC.serve(stream, out, shared_dir(spark), lambda c: c.select("collect_id", F.lit("r").alias("raw_data_id")), buckets=8)
     stored_configs = spark.read.parquet(f"{out}/configs")
     return stored_configs.select(F.concat_ws("/", F.col("config")["portal"], F.col("config")["user"]).alias("asked")).groupBy("asked").agg(F.count("*").cast("int").alias("configs"))
 
@@ -496,6 +514,40 @@ def stream_fk(spark, sf_dir):
     return spark.read.schema(SK.OUT).parquet(out).select("child_id", F.get_json_object("parent", "$.o_custkey").cast("long").alias("custkey"))
 
 
+def record_messages(spark, rows, batches):
+    """``entity, id, body`` rows as a stream of so many files, in an order that has nothing to do with their keys."""
+    path = shared_dir(spark)
+    rows.repartition(batches, F.xxhash64("id")).write.parquet(path)
+    return spark.readStream.schema(SR.MESSAGE).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def record(entity, id_, *fields):
+    return [F.lit(entity).alias("entity"), id_.alias("id"), F.to_json(F.struct(*fields)).alias("body")]
+
+
+@query("stream_records", """SELECT DISTINCT 'lineitem' AS entity, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, o_custkey AS custkey, p_name AS part FROM lineitem
+       JOIN (SELECT * FROM orders WHERE o_orderkey % 11 <> 0) ON l_orderkey = o_orderkey JOIN (SELECT * FROM part WHERE p_partkey % 13 <> 0) ON l_partkey = p_partkey
+       UNION ALL SELECT 'orders', o_orderkey::VARCHAR, NULL, NULL FROM orders WHERE o_orderkey % 11 <> 0 UNION ALL SELECT 'part', p_partkey::VARCHAR, NULL, NULL FROM part WHERE p_partkey % 13 <> 0""")
+def stream_records(spark, sf_dir):
+    """Lines that come in any order with the order and the part that they refer to."""
+    rows, refs = line_parts(spark, sf_dir)
+    sent = rows.distinct().select(*record("lineitem", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", "l_partkey"))
+    sent = sent.unionByName(refs["orders"].select(*record("orders", F.col("o_orderkey").cast("string"), "o_orderkey", "o_custkey")))
+    sent = sent.unionByName(refs["part"].select(*record("part", F.col("p_partkey").cast("string"), "p_partkey", "p_name")))
+    out = shared_dir(spark)
+    SR.run(record_messages(spark, sent, 3), LINE_DEPS, out, shared_dir(spark))
+    return SR.read_out(spark, out).select("entity", "id", F.get_json_object(F.col("found")["l_orderkey"], "$.o_custkey").cast("long").alias("custkey"), F.get_json_object(F.col("found")["l_partkey"], "$.p_name").alias("part"))
+
+
+@query("stream_cascade", f"""WITH RECURSIVE n AS (SELECT p_partkey AS id, {_NEEDS} AS ref FROM part), r(id) AS (SELECT id FROM n WHERE ref IS NULL UNION ALL SELECT n.id FROM n JOIN r ON n.ref = r.id) SELECT id FROM r""")
+def stream_cascade(spark, sf_dir):
+    """Parts that wait for other parts, chains of them; a part just resolved releases its own."""
+    parts = table(spark, sf_dir, "part").select(*record("part", F.col("p_partkey").cast("string"), F.col("p_partkey").alias("key"), F.expr(_NEEDS).alias("needs")))
+    out = shared_dir(spark)
+    SR.run(record_messages(spark, parts, 5), [K.Dependency("part", "part", "needs", "key")], out, shared_dir(spark))
+    return SR.read_out(spark, out).select(F.col("id").cast("long").alias("id"))
+
+
 @query("stream_link", f"{LINKED} SELECT * FROM linked WHERE id_noticia % 3 <> 0")
 def stream_link(spark, sf_dir):
     news = standin(spark, sf_dir)[0]

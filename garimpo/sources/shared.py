@@ -35,6 +35,12 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder, where it is not there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def small(df: DataFrame, most: int = 200_000) -> DataFrame:
     """The frame with a broadcast hint where it is counted to be small; unchanged, for a shuffle join, beyond."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

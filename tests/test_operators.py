@@ -111,9 +111,9 @@ PAGE = """<html><head><script>var t="</p>";</script></head><body><div class="box
 
 def test_page_fields():
     p = html.Page(PAGE)
-    assert html.text_of(p.find("h1")[0]) == "T"
+    assert p.text(p.first("h1")) == "T"
     assert html.content(p, {"tag": "div", "attrs": {"class": "main"}, "find_all": ["p", "h3"]}) == "one\ntwo bold\nhead"
-    assert p.find("span", {"class": "date mb-3"}) and p.find("span", {"class": "date"}) and not p.find("span", {"class": "mb-3 date"})
+    assert p.first("span", {"class": "date mb-3"}) and p.first("span", {"class": "date"}) and not p.first("span", {"class": "mb-3 date"})
     assert html.first_date(p, [{"tag": "time", "attribute": "datetime"}, {"attrs": {"class": "date mb-3"}}]) == "24/07/2025 - 10:00"
     assert html.content(p, {"tag": "section"}) == ""
 
