@@ -50,7 +50,7 @@ def day_month_year_hour(s: Column) -> Column:
     return F.when(t.rlike(form), _slashed(F.regexp_extract(t, form, 1)))
 
 
-PARSERS = {"iso_or_portuguese": iso_or_portuguese, "dmy": day_month_year, "dmy_hour": day_month_year_hour}
+PARSERS = {"iso_or_portuguese": iso_or_portuguese, "dmy": day_month_year, "other_format": day_month_year_hour, "dmy_hour": day_month_year_hour}
 
 
 def parse_by_name(s: Column, parser: Column) -> Column:

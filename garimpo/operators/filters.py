@@ -19,15 +19,40 @@ def page_profile(articles: DataFrame, page: str, date: Column, day: str) -> Data
     )
 
 
-def target_run(profile: DataFrame, page: str) -> DataFrame:
-    """Pages of the first run of pages without a gap that all hold the day.
+#: Page numbers of one block, in which runs are found before they are joined over the blocks' borders.
+BLOCK = 100_000
 
-    Pages of the day keep one difference of number and rank for as long as they follow each
-    other.  There is one row for each page here, not for each article.
+
+def page_runs(profile: DataFrame, page: str, by: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+    """``*by, first_page, last_page`` of every run of pages without a gap that all hold the day, for each ``by``.
+
+    Runs are found inside blocks of page numbers, each a group of its own; only runs that touch a block's
+    border, two a block at most, are then put together in order.
     """
-    hits = profile.filter("has_target").withColumn("run", F.col(page) - F.row_number().over(Window.orderBy(page)))
-    first = hits.agg(F.min_by("run", page).alias("first_run"))
-    return hits.join(F.broadcast(first), F.col("run") == F.col("first_run")).drop("run", "first_run")
+    by, number = by or [], F.col(page)
+    hits = profile.filter("has_target").select(*by, page, F.floor(number / block).alias("_block"))
+    rank = F.row_number().over(Window.partitionBy(*by, "_block").orderBy(page))
+    inside = hits.withColumn("_run", number - rank).groupBy(*by, "_block", "_run").agg(F.min(page).alias("first_page"), F.max(page).alias("last_page"))
+    low = F.col("_block") * block
+    border = (F.col("first_page") == low) | (F.col("last_page") == low + block - 1)
+    at_border = inside.filter(border).select(*by, "first_page", "last_page")
+    order = Window.partitionBy(*by).orderBy("first_page")
+    new = F.coalesce(F.lag("last_page").over(order) + 1 != F.col("first_page"), F.lit(True)).cast("long")
+    joined = at_border.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
+    joined = joined.groupBy(*by, "_run").agg(F.min("first_page").alias("first_page"), F.max("last_page").alias("last_page")).drop("_run")
+    return inside.filter(~border).select(*by, "first_page", "last_page").unionByName(joined)
+
+
+def target_run(profile: DataFrame, page: str, by: list[str] | None = None, block: int = BLOCK) -> DataFrame:
+    """Pages of the first run, for each ``by``, of pages without a gap that all hold the day."""
+    by = by or []
+    first = page_runs(profile, page, by, block).groupBy(*by).agg(F.min(F.struct("first_page", "last_page")).alias("_r"))
+    first = first.select(*[F.col(c).alias(f"_{c}") for c in by], "_r.first_page", "_r.last_page").filter("first_page is not null")
+    within = (F.col(page) >= F.col("first_page")) & (F.col(page) <= F.col("last_page"))
+    for c in by:
+        within = within & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    few = first if by else F.broadcast(first)  # without ``by`` one row
+    return profile.filter("has_target").join(few, within, "left_semi")
 
 
 def verify(records: DataFrame) -> DataFrame:

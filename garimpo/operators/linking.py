@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.text import missing
@@ -49,20 +49,32 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[s
     )
 
 
-def containing(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope: list[str]) -> DataFrame:
-    """Rows of ``asked`` and ``offered``, equal in ``scope``, whose ``whole`` contains ``text``, letter case aside.
+def literal(text: Column) -> Column:
+    """The longest part of a pattern that stands for itself: between ``%``, ``_`` and escaped letters."""
+    parts = F.split(text, r"[%_]|\\.|\\$", -1)
+    return F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
+
 
-    ``%`` and ``_`` in ``text`` are wildcards.  Texts of three letters or more without them are found by an
-    equi-join on their first three; only the others are compared with all of their scope.
+def matching(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope: list[str], inside: Column) -> DataFrame:
+    """Rows of ``asked`` and ``offered``, equal in ``scope``, of which ``inside`` holds: a match of pattern ``text`` in ``whole``.
+
+    Whatever a pattern matches holds its longest literal part, so patterns are found by an equi-join on the first three letters
+    of that part.  Only where there are patterns without three letters in a row are these compared with all of their scope.
     """
-    plain = (F.length(text) >= 3) & ~F.col(text).rlike(r"[%_\\]")
-    inside = F.expr(f"{whole} ilike concat('%', {text}, '%')")
+    asked = asked.withColumn("_lit", literal(F.col(text)))
+    known = F.length("_lit") >= 3
     place = F.sequence(F.lit(1), F.greatest(F.length(whole) - 2, F.lit(1)))
     parts = offered.select("*", F.explode(F.array_distinct(F.transform(place, lambda i: F.substr(F.lower(whole), i, F.lit(3))))).alias("_g"))
-    found = asked.filter(plain).withColumn("_g", F.substring(F.lower(text), 1, 3)).join(parts, [*scope, "_g"]).filter(inside).drop("_g")
-    odd = asked.filter(~plain)
-    rest = odd.join(offered, scope).filter(inside) if scope else odd.join(small(offered), inside)
-    return found.unionByName(rest)
+    found = asked.filter(known).withColumn("_g", F.substring(F.lower("_lit"), 1, 3)).join(parts, [*scope, "_g"]).filter(inside).drop("_g", "_lit")
+    odd = asked.filter(~known).drop("_lit")
+    if not odd.limit(1).count():
+        return found
+    return found.unionByName(odd.join(offered, scope).filter(inside) if scope else odd.join(small(offered), inside))
+
+
+def containing(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope: list[str]) -> DataFrame:
+    """Rows of ``asked`` and ``offered``, equal in ``scope``, whose ``whole`` contains ``text``, letter case aside; ``%`` and ``_`` are wildcards."""
+    return matching(asked, offered, text, whole, scope, F.expr(f"{whole} ilike concat('%', {text}, '%')"))
 
 
 def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST) -> DataFrame:
@@ -75,7 +87,8 @@ def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST
     asked = names.select(F.trim("name").alias("name")).filter("name is not null and name <> ''").distinct()
     plain = asked.filter(~F.col("name").rlike("[%_\\\\]"))
     exact = plain.join(places, F.lower("name") == F.lower("place")).groupBy("name").agg(F.min("id").alias("id"))
-    wild = asked.filter(F.col("name").rlike("[%_\\\\]")).join(small(places), F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
+    wild = stored(asked.filter(F.col("name").rlike("[%_\\\\]")))
+    wild = matching(wild, places, "name", "place", [], F.expr("place ilike name")).groupBy("name").agg(F.min("id").alias("id"))
     exact = exact.unionByName(wild)
     exact = stored(exact)
     rest = stored(asked.join(exact, "name", "left_anti"))
@@ -173,17 +186,19 @@ def disambiguate(info: DataFrame, objects: DataFrame, least: float = 0.2, margin
     A model's answer can be given in ``answer`` of ``objects``; it counts where it names a candidate.
     """
     scored = info.join(objects, "id_noticia", "left").withColumn("score", similarity(F.col("objeto"), F.col("texto")).cast("double"))
+    pair = F.struct((-F.col("score")).alias("s"), F.col("id_processo_licitatorio").alias("id"))
     best = scored.groupBy("id_noticia").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("id_processo_licitatorio").alias("id"))))[0].alias("first"),
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("id_processo_licitatorio").alias("id")))).alias("every"),
-        F.min("id_processo_licitatorio").alias("least_id"), F.max(missing(F.col("objeto"))).alias("no_object"),
-        *([F.max("answer").alias("answer")] if "answer" in objects.columns else [F.lit(None).cast("bigint").alias("answer")]),
-    ).join(duplicated(info), "id_noticia")
-    lead = F.coalesce(F.get("every", F.lit(1))["s"], F.lit(0.0)) - F.col("first.s")
+        F.min(pair).alias("first"), F.min("id_processo_licitatorio").alias("least_id"), F.max(missing(F.col("objeto"))).alias("no_object"),
+        *([F.max("answer").alias("answer"), F.bool_or(F.col("id_processo_licitatorio") == F.col("answer")).alias("answered")] if "answer" in objects.columns else [F.lit(None).cast("bigint").alias("answer"), F.lit(False).alias("answered")]),
+    )
+    # The best of the others, for the lead.
+    second = scored.join(best.select("id_noticia", F.col("first.id").alias("_best")), "id_noticia").filter("id_processo_licitatorio <> _best").groupBy("id_noticia").agg(F.max("score").alias("next"))
+    best = best.join(second, "id_noticia", "left").join(duplicated(info), "id_noticia")
+    lead = -F.coalesce("next", F.lit(0.0)) - F.col("first.s")
     return best.select(
         "id_noticia",
         F.when(F.col("duplicates"), F.col("least_id"))
-        .when(F.exists("every", lambda c: c["id"] == F.col("answer")), F.col("answer"))
+        .when(F.col("answered"), F.col("answer"))
         .when(~F.col("no_object") & (-F.col("first.s") >= least - 1e-12) & (lead >= margin - 1e-12), F.col("first.id")).alias("chosen"),
     )
 

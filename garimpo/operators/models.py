@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
+from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ MODALITY_PATTERNS = {
     "convite": rf"\bcartas?[ -]convites?\b|{_sure('convites?')}", "concurso": _sure("concursos?"),
     "regime diferenciado de contratação": r"\bregimes? diferenciados? de contrataç(?:ão|ões)\b|\brdc\b",
 }
-EDITAL = r"(?i)(?:edital|preg[aã]o(?:\s+(?:eletr[oô]nico|presencial))?|concorr[eê]ncia|processo|licita[cç][aã]o|tomada de pre[cç]os)\s*(?:n[º°o.]*|n[uú]mero)?\s*([0-9]{1,6}\s*(?:/|\sde\s)\s*[0-9]{4})"
+EDITAL = r"(?i)(?:edital|preg[aã]o(?:\s+(?:eletr[oô]nico|presencial))?|concorr[eê]ncia|processo|licita[cç][aã]o|tomada de pre[cç]os)\s*(?:n[º°o.]*|n[uú]mero)?\s*([0-9]+\s*(?:/|\sde\s)\s*[0-9]{4})"
 OBJECT = r"(?i)(?:objeto|contrata[cç][aã]o de|aquisi[cç][aã]o de|constru[cç][aã]o de|fornecimento de|compra de)\s*:?\s*([^.;\n]{3,})"
 
 #: What a text holds that names a modality, where it isn't the first four letters.
@@ -72,6 +73,34 @@ def classify(model: PipelineModel, texts: DataFrame) -> DataFrame:
     return model.transform(cleaned(texts)).drop("cleaned", "words", "tf", "tfidf", "rawPrediction")
 
 
+def usable(vectors: DataFrame, vector: str, size: int) -> Column:
+    """Whether a row's vector has the size and holds finite numbers alone."""
+    v = F.col(vector)
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return v.isNotNull() & (F.size(v) == size) & fine
+
+
+def fit_vector_classifier(vectors: DataFrame, size: int, label: str = "label", vector: str = "embedding", iterations: int = 50, regularisation: float = 0.01) -> PipelineModel:
+    """A linear support-vector machine over text embeddings (arrays of ``size`` numbers), scaled; unusable rows and rows without label are left out."""
+    rows = vectors.filter(usable(vectors, vector, size) & F.col(label).isNotNull())
+    steps = [
+        StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=True, withStd=True),
+        LinearSVC(featuresCol="_scaled", labelCol="_label", maxIter=iterations, regParam=regularisation),
+    ]
+    return Pipeline(stages=steps).fit(rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("_vector"), F.col(label).cast("double").alias("_label")))
+
+
+def classify_vectors(model: PipelineModel, vectors: DataFrame, size: int, vector: str = "embedding") -> DataFrame:
+    """All rows with ``prediction`` (0 or 1) and ``margin``, the distance from the plane; both NULL for unusable vectors."""
+    fine = usable(vectors, vector, size)
+    zero = F.array_repeat(F.lit(0.0), size)
+    rows = vectors.withColumns({"_fine": fine, "_vector": array_to_vector(F.when(fine, F.col(vector).cast("array<double>")).otherwise(zero))})
+    out = model.transform(rows).withColumns({
+        "margin": F.when(F.col("_fine"), F.get(vector_to_array("rawPrediction"), F.lit(1))), "prediction": F.when(F.col("_fine"), F.col("prediction")),
+    })
+    return out.drop("_fine", "_vector", "_scaled", "rawPrediction")
+
+
 def editais(text: Column) -> Column:
     """Tender numbers that a text names, as ``NUMBER/YEAR``, without repeats."""
     raw = F.regexp_extract_all(text, F.lit(EDITAL), F.lit(1))

@@ -174,7 +174,8 @@ def sink_partitioned_json(spark, sf_dir):
 def raw_landing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.col("lang").alias("entity_type"))
     path = shared_dir(spark)
-    LA.land(LA.stamp(docs, "Noticias", "run-1", ["doc_id", "source"]), path)
+    for _ in range(2):  # a job done again lands nothing twice
+        LA.land(LA.stamp(docs, "Noticias", "run-1", ["doc_id", "source"]), path)
     return LA.collections_of(spark, path, "noticias").select("doc_id", "collect_id", "data_source", "raw_data_collection", "raw_data_id", "entity_type")
 
 
@@ -350,6 +351,28 @@ def classify_docs(spark, sf_dir):
     return M.classify(M.fit_classifier(labelled(spark, sf_dir)), table(spark, sf_dir, "documents")).select("doc_id", F.col("prediction").cast("int").alias("prediction"))
 
 
+@query("classify_vectors")
+def classify_vectors(spark, sf_dir):
+    """Embeddings by an SVM that has not seen them: every fourth row, by the hash of its id, is held out of the fit."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("label"))
+    held = F.crc32(F.col("vec_id").cast("string").cast("binary")) % 4 == 2
+    size = e.select(F.max(F.size("embedding"))).first()[0]
+    model = M.fit_vector_classifier(e.filter(~held), size)
+    return M.classify_vectors(model, e, size).select("vec_id", held.alias("held_out"), "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("landing_statistics", """WITH d AS (SELECT source AS portal, count(*) AS n FROM documents GROUP BY 1) SELECT 'portal' AS kind, portal AS name, n FROM d UNION ALL SELECT 'documents', NULL, sum(n)::BIGINT FROM d
+       UNION ALL SELECT 'portals', NULL, count(*) FROM d UNION ALL SELECT 'collection', 'run-1', sum(n)::BIGINT FROM d UNION ALL SELECT 'date', '2024-01-01', sum(n)::BIGINT FROM d""")
+def landing_statistics(spark, sf_dir):
+    """What the flow reports of the articles that it has landed."""
+    articles, path = flow_parts(spark, sf_dir)[0], shared_dir(spark)
+    LA.land(LA.stamp(articles, "Noticias", "run-1", ["url"]), path)
+    s = P.statistics(LA.collections_of(spark, path, "noticias"))
+    row = lambda df, kind, name, n: df.select(F.lit(kind).alias("kind"), name.cast("string").alias("name"), F.col(n).alias("n"))
+    return row(s["by_portal"], "portal", F.col("portal"), "n").unionByName(row(s["totals"], "documents", F.lit(None), "documents")).unionByName(row(s["totals"], "portals", F.lit(None), "portals")).unionByName(
+        row(s["by_collect"], "collection", F.col("collect_id"), "n")).unionByName(row(s["recent_dates"], "date", F.col("date"), "n"))
+
+
 @query("fraud_gate")
 def fraud_gate(spark, sf_dir):
     return classify_docs(spark, sf_dir).filter("prediction = 1")
@@ -535,7 +558,7 @@ def stream_records(spark, sf_dir):
     sent = sent.unionByName(refs["orders"].select(*record("orders", F.col("o_orderkey").cast("string"), "o_orderkey", "o_custkey")))
     sent = sent.unionByName(refs["part"].select(*record("part", F.col("p_partkey").cast("string"), "p_partkey", "p_name")))
     out = shared_dir(spark)
-    SR.run(record_messages(spark, sent, 3), LINE_DEPS, out, shared_dir(spark))
+    SR.run(record_messages(spark, sent, 2), LINE_DEPS, out, shared_dir(spark), parts=1)
     return SR.read_out(spark, out).select("entity", "id", F.get_json_object(F.col("found")["l_orderkey"], "$.o_custkey").cast("long").alias("custkey"), F.get_json_object(F.col("found")["l_partkey"], "$.p_name").alias("part"))
 
 

@@ -24,10 +24,31 @@ def stamp(records: DataFrame, source: str, collect_id: str, identity: list[str],
     })
 
 
-def land(stamped: DataFrame, path: str) -> None:
-    """Append to one table partitioned by source and entity."""
+def refused(records: DataFrame, identity: list[str], bad: str = "_bad") -> DataFrame:
+    """Records with ``error`` where they can't be landed: unreadable (``bad`` is filled), or nothing in any field of their identity."""
+    empty = reduce(Column.__and__, [F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "" for c in identity])
+    broken = F.col(bad).isNotNull() if bad in records.columns else F.lit(False)
+    return records.withColumn("error", F.when(broken, "unreadable record").when(empty, "record without identity"))
+
+
+def land(stamped: DataFrame, path: str, refused_at: str | None = None) -> None:
+    """Into one table partitioned by source, entity and collection run, each run once.
+
+    A run that is landed again takes the place of its rows in the partitions that it writes, so a job may be done again.
+    Rows with a filled ``error`` (:func:`refused`) go to ``refused_at``, by run as well, and the others don't depend on them.
+    """
     entity = F.coalesce(F.col("entity_type"), F.lit("none")) if "entity_type" in stamped.columns else F.lit("none")
-    stamped.withColumn("entity_type", entity).write.mode("append").partitionBy("data_source", "entity_type").parquet(path)
+    # The identifier of a run as a folder name that no reader takes for a number or a date.
+    rows = stamped.withColumns({"entity_type": entity, "landing_run": F.concat(F.lit("run-"), F.substring(F.sha2(F.col("collect_id"), 256), 1, 20))})
+
+    def put(df: DataFrame, at: str, *folders: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(at)
+
+    if "error" in rows.columns:
+        if refused_at:
+            put(rows.filter("error is not null"), refused_at, "landing_run")
+        rows = rows.filter("error is null").drop("error")
+    put(rows, path, "data_source", "entity_type", "landing_run")
 
 
 def landed(spark: SparkSession, path: str, collect_id: str) -> int:
@@ -42,4 +63,4 @@ def union_of(collections: list[DataFrame]) -> DataFrame:
 
 def collections_of(spark: SparkSession, path: str, source: str) -> DataFrame:
     """All collections of a source, by its partition."""
-    return spark.read.parquet(path).filter(F.col("data_source") == source.lower())
+    return spark.read.parquet(path).filter(F.col("data_source") == source.lower()).drop("landing_run")

@@ -14,8 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -28,8 +27,6 @@ RESOLVED = "entity string, id string, body string, found map<string,string>"
 #: As it lies in files: the partition column comes last.
 _STORED = "id string, body string, found map<string,string>, entity string"
 _MET = "entity string, id string, body string, fk string, open array<string>"
-#: Released records in one frame.
-STEP = 10_000
 
 
 class References(StatefulProcessor):
@@ -42,43 +39,32 @@ class References(StatefulProcessor):
         self.document = handle.getValueState("document", "body string", self.ttl_ms)
         self.waiting = handle.getListState("waiting", "entity string, id string, fk string", self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         new, found = [], []
-        for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                if r.resolves:
-                    found.append((r.id, r.body))
-                else:
-                    new.append((r.entity, r.id, r.fk))
-        if found and not self.document.exists():
-            self.document.update((min(found)[1],))  # the first that came; of one batch, the smallest id
-        if not self.document.exists():
-            self.waiting.appendList(new)
-            return
-        (body,) = self.document.get()
-        yield from _frames(self._ready(new), body)
-
-    def _ready(self, new: list) -> Iterator[tuple]:
-        if self.waiting.exists():
-            yield from self.waiting.get()
+        for r in rows:
+            if r.resolves:
+                found.append((r.id, r.body))
+            else:
+                new.append((r.entity, r.id, r.fk))
+        known = self.document.get()
+        if known is None:
+            if not found:
+                self.waiting.appendList(new)
+                return
+            body = min(found)[1]  # the first that came; of one batch, the smallest id
+            self.document.update((body,))
+            for entity, id_, fk in self.waiting.get():
+                yield Row(entity=entity, id=id_, body=body, fk=fk, open=None)
             self.waiting.clear()
-        yield from new
+        else:
+            body = known[0]
+        for entity, id_, fk in new:
+            yield Row(entity=entity, id=id_, body=body, fk=fk, open=None)
 
     def close(self) -> None:
         pass
 
 
-def _frames(ready: Iterator[tuple], body: str) -> Iterator[pd.DataFrame]:
-    rows = []
-    for entity, id_, fk in ready:
-        rows.append((entity, id_, body, fk, None))
-        if len(rows) == STEP:
-            yield pd.DataFrame(rows, columns=["entity", "id", "body", "fk", "open"])
-            rows = []
-    if rows:
-        yield pd.DataFrame(rows, columns=["entity", "id", "body", "fk", "open"])
-
-
 class Records(StatefulProcessor):
     """Per record: body, open keys and documents found; the whole record comes out once, when the last key is met."""
 
@@ -89,23 +75,31 @@ class Records(StatefulProcessor):
         self.record = handle.getValueState("record", "body string, keys int, done boolean", self.ttl_ms)
         self.found = handle.getMapState("found", "fk string", "body string", self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                if r.open is None:
-                    if not self.found.containsKey((r.fk,)):
-                        self.found.updateValue((r.fk,), (r.body,))
-                elif not self.record.exists():  # a record that comes again changes nothing
-                    self.record.update((r.body, len(r.open), False))
-        if not self.record.exists():
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known, met, before, first = self.record.get(), {}, {}, None
+        for r in rows:
+            if r.open is None:
+                met.setdefault(r.fk, r.body)
+            elif first is None:
+                first = (r.body, len(r.open))
+        new = known is None and first is not None
+        body, keys, done = (*first, False) if new else known or (None, None, False)
+        if done:  # a record that comes again changes nothing
             return
-        body, keys, done = self.record.get()
-        met = {fk: doc for (fk,), (doc,) in self.found.iterator()} if not done else {}
-        if done or len(met) < keys:
+        if keys is None or len(met) < keys:  # what came before may complete it
+            before = {fk: doc for (fk,), (doc,) in self.found.iterator()}
+            for fk, doc in met.items():
+                if fk not in before:
+                    self.found.updateValue((fk,), (doc,))
+            met |= before
+        if keys is None or len(met) < keys:
+            if new:
+                self.record.update((body, keys, False))
             return
         self.record.update((None, keys, True))
-        self.found.clear()
-        yield pd.DataFrame([(*key, body, met)], columns=["entity", "id", "body", "found"])
+        if before:
+            self.found.clear()
+        yield Row(entity=key[0], id=key[1], body=body, found=met)
 
     def close(self) -> None:
         pass
@@ -160,9 +154,9 @@ def resolve(messages: DataFrame, back: DataFrame, deps: list[Dependency], parts:
     filled, refused = _keys(deps)
     own = messages.filter("entity is not null and id is not null").withColumns({"open": filled, "refused": refused}).filter("not refused").drop("refused")
     events = _waits(own, deps, parts).unionByName(_offers(back, deps, parts))
-    met = events.groupBy("ref", "part").transformWithStateInPandas(References(ttl_ms), _MET, "Append", mode)
+    met = events.groupBy("ref", "part").transformWithState(References(ttl_ms), _MET, "Append", mode)
     rows = own.select("entity", "id", "body", F.lit(None).cast("string").alias("fk"), "open").unionByName(met)
-    return rows.groupBy("entity", "id").transformWithStateInPandas(Records(ttl_ms), RESOLVED, "Append", mode)
+    return rows.groupBy("entity", "id").transformWithState(Records(ttl_ms), RESOLVED, "Append", mode)
 
 
 def run(messages: DataFrame, deps: list[Dependency], out: str, checkpoint: str, parts: int = 4, ttl_ms: int | None = None) -> None:
