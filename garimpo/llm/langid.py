@@ -32,7 +32,7 @@ FIT_ROWS = 160
 FIT_LABELS = 200
 #: Words of one training chain; a longer text gives several.
 FIT_WORDS = 400
-#: Longer texts are not drawn for fitting; with FIT_ROWS this bounds what reaches the driver.
+#: Letters of one labelled row that are learned from; a longer text gives a piece of this length. With FIT_ROWS this bounds what reaches the driver.
 FIT_CHARS = 20_000
 UND = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -191,7 +191,10 @@ def sample(docs: DataFrame, fit_rows: int, label: str = "lang", text: str = "tex
     """
     rows = docs.select(F.col(label).cast("string").alias("lab"), F.col(text).cast("string").alias("t"))
     key = F.xxhash64("t", F.lit(17))
-    labelled = rows.filter(F.col("lab").isNotNull() & (F.length("t") <= FIT_CHARS) & F.col("t").rlike(r"\p{L}"))
+    # Of a long text a piece from a place that its hash names, so that languages written at length are learned as well.
+    start = F.pmod(F.xxhash64("t", F.lit(23)), F.greatest(F.length("t") - FIT_CHARS, F.lit(0)) + 1) + 1
+    piece = F.when(F.length("t") > FIT_CHARS, F.substr("t", start.cast("int"), F.lit(FIT_CHARS))).otherwise(F.col("t"))
+    labelled = rows.select("lab", piece.alias("t")).filter(F.col("lab").isNotNull() & F.col("t").rlike(r"\p{L}"))
     # Many rows cannot meet in one task: a hash threshold first leaves a few times what is needed.
     counts = labelled.groupBy("lab").count().orderBy(F.desc("count"), "lab").limit(most_labels)
     rate = counts.select(F.col("lab").alias("r_lab"), (F.lit(8.0 * fit_rows) / F.col("count")).alias("rate"))
