@@ -153,12 +153,12 @@ def top_k(
     groups = max(1, -(-n // (every * cell_queries)))
     # Ranges of rows, of sampled splitters: gaps between identifiers and repeated ones don't matter.
     rows = scratch.stored(rows.repartitionByRange(bands, "vec_id", "row").withColumn("band", F.spark_partition_id()))
-    in_all = F.sequence(F.lit(0), F.lit(groups - 1))
-    data = rows.select("band", "row", "vec_id", "v", F.explode(in_all).alias("grp"))
     asked = rows.filter(F.col("vec_id") % every == 0).select(F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("grp"), "row", "vec_id", "v")
     near = scratch.stored(band_bounds(rows)).toPandas() if bands * _longest(rows) * 16 <= BOUND_BYTES else None
 
     def visited(queries: DataFrame) -> DataFrame:
+        cells = scratch.stored(queries.select("grp", "band").distinct())
+        data = for_cells(rows, cells, groups * bands)
         named = queries.select(F.col("grp").alias("q_grp"), F.col("band").alias("q_band"), F.col("row").alias("q_row"), F.col("vec_id").alias("q_id"), F.col("v").alias("q_v"))
 
         def cell(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
@@ -183,6 +183,17 @@ def top_k(
     return ranked
 
 
+#: Pairs of a query group and a band up to which their lists are broadcast: 16 MB.
+FEW_CELLS = 4_000_000
+
+
+def for_cells(rows: DataFrame, cells: DataFrame, most: int) -> DataFrame:
+    """``band, row, vec_id, v, grp``: the rows of each band, once for every query group that visits it (``cells``: ``grp, band``, ``most`` of them)."""
+    visits = cells.groupBy(F.col("band").alias("c_band")).agg(F.collect_set("grp").alias("grps"))
+    visits = F.broadcast(visits) if most <= FEW_CELLS else visits
+    return rows.join(visits, F.col("band") == F.col("c_band")).select("band", "row", "vec_id", "v", F.explode("grps").alias("grp"))
+
+
 def _longest(rows: DataFrame) -> int:
     return rows.agg(F.max(F.size("v"))).first()[0] or 0
 
