@@ -322,3 +322,65 @@ def test_foreign_archives(spark, tmp_path):
     assert [x.record_id for x in rows["r1"].requests] == ["<q1>"] and [x.payload for x in rows["r1"].metadata] == ["k: v"]
     assert not rows["cut"].response.whole and rows["r2"].requests in (None, [])
     scratch.clear()
+
+
+# Families of near copies, and languages written at length ---------------------------------------
+
+
+def test_a_family_of_near_copies_does_not_multiply(spark, monkeypatch):
+    """One text with twelve words changed in each copy: what is sent on stays below the family's size at every level."""
+    from garimpo.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "SMALL", 64)
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(400):
+        t = list(base)
+        for j in rng.sample(range(400), 12):
+            t[j] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(t))
+    texts += [texts[7].replace("w5 ", "q "), texts[9] + " more"]
+    sent, real = [], jaccard_join._next_regions
+
+    def counted(near, *rest):
+        out = real(near, *rest)
+        sent.append((near.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_next_regions", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85, 100).collect()}
+    assert got == {i: {400: 7, 401: 9}.get(i, i) for i in range(402)}
+    assert sent and all(copies <= 2 * sets for sets, copies in sent)
+
+
+def test_a_language_of_long_texts_alone_is_learned(spark):
+    from garimpo.llm import langid
+
+    rng = random.Random(2)
+    de, xx = ["und", "der", "die", "nicht", "wir", "haben"], ["zyq", "qorx", "vuxi", "wyzzo", "xaq", "quvy"]
+    rows = [(i, " ".join(rng.choice(de) for _ in range(60)), "de") for i in range(40)] + [(40 + i, " ".join(rng.choice(xx) for _ in range(8000)), "xx") for i in range(20)]
+    assert all(len(t) > langid.FIT_CHARS for _, t, lang in rows if lang == "xx")
+    got = {r.doc_id: r.lang_pred for r in langid.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+    assert max(len(t) for t, lang in langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 10) if lang == "xx") == langid.FIT_CHARS
+
+
+def test_cells_that_no_query_visits_get_no_rows(spark):
+    from garimpo.llm import topk
+
+    rows = spark.createDataFrame([(b, i, i, [1.0]) for i, b in enumerate([0, 0, 1, 2, 2, 2])], "band int, row long, vec_id long, v array<double>")
+    cells = spark.createDataFrame([(7, 0), (8, 0), (7, 2)], "grp int, band int")
+    for most in (3, topk.FEW_CELLS + 1):
+        assert sorted((r.grp, r.row) for r in topk.for_cells(rows, cells, most).collect()) == [(7, 0), (7, 1), (7, 3), (7, 4), (7, 5), (8, 0), (8, 1)]
+
+
+def test_packing_needs_hardly_more_than_best_fit(spark, sf_dir):
+    from garimpo.llm import packing
+
+    got = packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("length", "sequence_id").toPandas()
+    falling = np.sort(got.length.to_numpy())[::-1]
+    alone = packing.best_fit(falling)[0].max() + 1
+    assert alone <= got.sequence_id.nunique() <= alone + max(2, alone // 250)
+    bins, offsets = packing.best_fit(np.array([700, 600, 400, 300, 24, 1024, 2000]))
+    assert bins.tolist() == [0, 1, 1, 0, 0, 2, 3] and offsets.tolist() == [0, 0, 600, 700, 1000, 0, 0]
