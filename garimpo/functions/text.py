@@ -34,9 +34,13 @@ def clean_html(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"^[\s\x{00a0}]+|[\s\x{00a0}]+$", "")
 
 
+#: A character reference with its semicolon.
+REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
 def unescape(s: Column) -> Column:
     """Character references decoded once: decimal, hexadecimal and the named ones of HTML 4, each with its semicolon."""
-    name = lambda part: F.regexp_extract(part, "^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+    name = lambda part: F.regexp_extract(part, f"^{REFERENCE}", 1)
     char = lambda code: F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
     def decoded(part: Column) -> Column:
@@ -47,7 +51,7 @@ def unescape(s: Column) -> Column:
         return F.when(out.isNotNull(), F.concat(out, F.substr(part, F.length(n) + 3))).otherwise(part)
 
     named = F.create_map(*[F.lit(x) for k, v in sorted(name2codepoint.items()) for x in (k, chr(v))])
-    return F.when(F.contains(s, F.lit("&")), F.array_join(F.transform(F.split(s, "(?=&)"), decoded), "")).otherwise(s)
+    return F.when(F.contains(s, F.lit("&")) & s.rlike(REFERENCE), F.array_join(F.transform(F.split(s, "(?=&)"), decoded), "")).otherwise(s)
 
 
 def clean_text(s: Column) -> Column:
