@@ -141,13 +141,13 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
         scoped.select(F.col("id_noticia").alias("a"), "id_municipio", "descricao", F.col("asked").alias("text")),
         offered.select(F.col("id_processo_licitatorio").alias("b"), "id_municipio", "descricao", F.col("numero_edital").alias("text")),
         least, ["id_municipio", "descricao"],
-    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio")).distinct()
-    holds = containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio")
-    pairs = near.unionByName(holds).distinct()
+    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio"), "score")
+    holds = containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio", F.lit(None).cast("float").alias("score"))
+    pairs = near.unionByName(holds).groupBy("id_noticia", "id_processo_licitatorio").agg(F.max("score").alias("score"))
     scored = (
         pairs.join(scoped.select("id_noticia", "asked", "descricao", "score_modalidade"), "id_noticia")
         .join(offered, ["id_processo_licitatorio", "descricao"])
-        .withColumn("score_edital", similarity(F.col("numero_edital"), F.col("asked")))
+        .withColumn("score_edital", F.coalesce("score", similarity(F.col("numero_edital"), F.col("asked"))))
     )
     return scored.select(
         "id_noticia", "id_processo_licitatorio", "numero_edital",

@@ -156,3 +156,25 @@ def test_chains_of_any_length_are_resolved(spark):
     n = spark.createDataFrame([(i, i - 1 if i else None) for i in range(30)], "id long, ref long").coalesce(1)
     ready, pending = keys.gate({"a": n}, "id", [keys.Dependency("a", "a", "ref", "id")])
     assert ready.count() == 30 and pending.count() == 0
+
+
+def test_truthy_fields_and_texts_required(spark):
+    from garimpo.functions.text import first_filled, missing
+
+    df = spark.createDataFrame([(1, "", None, "b"), (2, None, "", None), (3, "t", "c", "b")], "id int, text string, conteudo string, body string")
+    got = {r.id: (r.x, r.error) for r in filters.with_text(df.withColumn("x", first_filled(F.col("text"), F.col("conteudo"), F.col("body"))), "x").collect()}
+    assert got == {1: ("b", None), 2: (None, "text missing"), 3: ("t", None)}
+    tokens = spark.createDataFrame([(x,) for x in (None, "", "NaN", "null", "None", "0", " ")], "s string")
+    assert [r[0] for r in tokens.select(missing(F.col("s"))).collect()] == [True] * 5 + [False] * 2
+
+
+def test_scan_of_a_prefix_through_a_mounted_store(spark, tmp_path):
+    """Only Spark's readers open this path, as an object store's; folders below the prefix count, other prefixes don't."""
+    from garimpo.sources import articles
+
+    for name in ("news/a.json", "news/deep/b.json", "other/c.json"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(json.dumps([{"title": name}]))
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.bucket.link./in", f"file://{tmp_path}")
+    got = articles.load(spark, {"folder_path": "viewfs://bucket/in/news", "entity_type": "noticia"})
+    assert sorted(r.title for r in got.collect()) == ["news/a.json", "news/deep/b.json"]
