@@ -308,8 +308,10 @@ def collocations(docs: DataFrame, depth: int = 4, least: int = 30, top: int = 20
     swallowed = F.expr(f"cast(longer as decimal(20,0)) * 100 >= cast(a as decimal(20,0)) * {int(share)}")
     rest = scored.join(inside, ["lang", "ws"], "left").filter(~F.coalesce(swallowed, F.lit(False))).select("lang", "ws", "a", "best.*")
     by_score = [F.desc("score"), F.desc("a")]
-    # Ties at the last rank stay until their words are known.
-    few = rest.withColumn("_r", F.rank().over(Window.partitionBy("lang").orderBy(*by_score))).filter(F.col("_r") <= top)
+    # Ties at the last rank stay until their words are known.  A language's best are among the best of each share of its phrases.
+    few = rest.withColumn("_share", F.pmod(F.xxhash64("ws"), F.lit(partitions(spark))))
+    for group in (["lang", "_share"], ["lang"]):
+        few = few.withColumn("_r", F.rank().over(Window.partitionBy(*group).orderBy(*by_score))).filter(F.col("_r") <= top)
     names = words.filter(F.col("n") >= least).select("h", "word").distinct()
     spelled = few.select("*", F.posexplode("ws").alias("_at", "h")).join(names, "h").groupBy("lang", "ws", "a", "l", "r", "score").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col("word").cast("string").alias("w")))), lambda x: x["w"]), " ").alias("phrase"))
