@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.llm.common import fresh, without
+from garimpo.llm.words import trim
 
 BUCKETS = 1 << 15
 #: Labelled rows of each language that the model is fitted on.
@@ -46,7 +47,7 @@ class _Hashed(dict):
         self.kind = kind
 
     def __missing__(self, name: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         self[name] = bucket = zlib.crc32(f"{self.kind}{name}".encode()) % BUCKETS
         return bucket
@@ -264,6 +265,12 @@ def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: s
                     out.append((labels[i], float(min(1.0, max(0.0, mean[i]))), float(min(1.0, m.max(1).mean())), int((best[1:] != best[:-1]).sum())))
                 got = pd.DataFrame(out, columns=["lang_pred", "score", "certainty", "n_switches"], index=part.index)
                 yield pd.concat([part.drop(columns="_text"), got], axis=1)
+            trim()
+        # Workers live on after the task; what they remember of its words would stay with them.
+        for names in (_HEAD, _TAIL, _GRAM, _SHAPE):
+            names.clear()
+        del tagger
+        trim()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).cast("string").alias("_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
