@@ -52,8 +52,9 @@ _DUCK_STRINGS = f"""
 )
 def parse_dates(spark, sf_dir):
     s = table(spark, sf_dir, "events").select("event_id", F.expr(DATE_STRINGS).alias("raw"))
-    parser = F.element_at(F.array(*map(F.lit, dates.PARSERS)), (F.col("event_id") % 3 + 1).cast("int"))
-    return s.select("event_id", "raw", *[f(F.col("raw")).cast("string").alias(n) for n, f in dates.PARSERS.items()], dates.parse_by_name(F.col("raw"), parser).cast("string").alias("by_portal"))
+    forms = ("iso_or_portuguese", "dmy", "dmy_hour")
+    parser = F.element_at(F.array(*map(F.lit, forms)), (F.col("event_id") % 3 + 1).cast("int"))
+    return s.select("event_id", "raw", *[dates.PARSERS[n](F.col("raw")).cast("string").alias(n) for n in forms], dates.parse_by_name(F.col("raw"), parser).cast("string").alias("by_portal"))
 
 
 @query(

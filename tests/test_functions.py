@@ -60,3 +60,9 @@ def test_chosen_id(spark):
 @pytest.mark.parametrize("value,kind,want", [("1", "integer", 1), ("x", "integer", None), ("0", "integer", 0), ("sim", "boolean", True), ("no", "boolean", False), ("2024-02-30", "date", None), ("a", "ARRAY", ["a"]), ("{}", "jsonb", "{}"), ("{", "jsonb", None)])
 def test_coerce(spark, value, kind, want):
     assert one(spark, lambda c: coerce.coerce(c, kind), value) == want
+
+
+def test_parse_dates_has_the_columns_of_its_sql(spark, sf_dir):
+    from garimpo.plans.scalars import parse_dates
+
+    assert parse_dates(spark, sf_dir).columns == ["event_id", "raw", "iso_or_portuguese", "dmy", "dmy_hour", "by_portal"]
