@@ -6,45 +6,68 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from garimpo.functions.text import missing
-from garimpo.functions.trigram import similarity, similarity_of, trigrams
-from garimpo.sources.shared import small, stored
+from garimpo.functions.trigram import similarity, trigrams
+from garimpo.sources.shared import large, small, stored
 
 #: Similarity that a name has to pass, and that tender numbers and modalities have to pass.
 NAME_LEAST, LINK_LEAST = 0.4, 0.5
-#: Rare trigrams that a candidate pair must share at most, and how much more of the index than for one they may read.
-MEETINGS, MORE = 3, 2
+#: Meetings by two trigrams that a text may have on the average; beyond, texts meet by one.
+MEETINGS = 40
+#: First letters of a pattern's literal part by which it is found; the second where the part is that long.
+LETTERS = (3, 6)
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[str] | None = None) -> DataFrame:
     """``a, b, score`` of pairs of texts with trigram similarity above ``least``, without a cartesian product.
 
     ``left`` has ``a, text`` and ``right`` has ``b, text``, both the ``scope`` columns that must be
-    equal.  Two sets of a similarity above ``least`` have more than that share of either in
-    common, t of ``left``'s n at least, so m of them lie among its first n - t + m in any order; those
-    that are rare in ``right`` come first, which keeps what all rows have (years, padding) out
-    of the join.  Every text takes the largest m for which the further trigrams are not too common.
-    Pairs of unlike sizes, or that meet less than m times, are left out; whole sets decide.
+    equal.  Sets of na and nb trigrams that are similar enough share c = least / (1 + least) * (na + nb) at least.  With
+    trigrams in one order, the first m that both have lie among the first na - c + m of one and nb - c + m of the other.
+    Those that are rare in ``right`` come first, which keeps what all rows have (years, padding) out of the join;
+    texts meet by two trigrams at once, by one where texts are long or may share only one.  A bit map of either
+    set drops most of what can't share c within the join itself; whole sets decide.
     """
     scope = scope or []
-    la = stored(left.select("a", *scope, "text").distinct().select("*", trigrams(F.col("text")).alias("ga")))
-    lb = stored(right.select("b", *scope, trigrams(F.col("text")).alias("gb")))
-    offered = lb.select("b", *scope, F.size("gb").alias("nb"), F.explode("gb").alias("g"))
-    often = stored(offered.groupBy("g").agg(F.count("*").alias("df")))
-    own = Window.partitionBy("a", *scope, "text")
-    order = own.orderBy(F.coalesce("df", F.lit(0)), "g")
-    asked = (
-        la.select("a", *scope, "text", F.size("ga").alias("na"), F.explode("ga").alias("g")).join(small(often), "g", "left")
-        .withColumn("k", F.row_number().over(order) - (F.col("na") - F.floor(F.col("na") * F.lit(least) + 1e-9) - 1))
-        .withColumn("met", F.sum(F.coalesce("df", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("one", F.max(F.when(F.col("k") <= 1, F.col("met"))).over(own))
-        .withColumn("m", F.max(F.when((F.col("k") <= 1) | (F.col("k") <= MEETINGS) & (F.col("met") <= MORE * F.col("one")), F.col("k"))).over(own))
-        .filter((F.col("k") <= F.col("m")) & F.col("df").isNotNull())
-    )
-    like = F.least("na", "nb") > least * F.greatest("na", "nb") - 1e-6
-    met = asked.select("a", "na", "m", *scope, "g").join(offered, ["g", *scope]).filter(like)
-    pairs = met.groupBy("a", "b", *scope).agg(F.count("*").alias("met"), F.min("m").alias("m")).filter("met >= m").drop("met", "m")
+    la = stored(left.select("a", *scope, "text").distinct().withColumn("_g", trigrams(F.col("text"))).withColumn("_n", F.size("_g")).filter("_n > 0"))
+    lb = stored(right.select("b", *scope, "text").distinct().withColumn("_g", trigrams(F.col("text"))).withColumn("_n", F.size("_g")).filter("_n > 0"))
+    often = small(stored(lb.select(F.explode("_g").alias("_g")).groupBy("_g").agg(F.count("*").alias("df"))))
+    share = lambda na, nb: F.floor((na + nb) * F.lit(least / (1 + least)) - 1e-6).cast("int") + 1
+
+    def fewest(partners: int) -> Column:
+        """What a text shares with its smallest possible partner at least."""
+        return F.greatest(share(F.col("_n"), F.greatest(F.lit(partners), F.ceil(F.col("_n") * F.lit(least) - 1e-6).cast("int"))), F.lit(1))
+
+    # Whole numbers: the smallest set of either side, and how many meetings by two there would be.
+    smallest = [df.select(F.coalesce(F.min("_n"), F.lit(1))).first()[0] for df in (la, lb)]
+    first = F.least(F.col("_n"), F.greatest(F.col("_n") - F.col("_c") + 2, F.lit(0)))
+    meetings = [df.withColumn("_c", fewest(s)).select(F.count("*"), F.coalesce(F.sum((first * (first - 1) / 2).cast("double")), F.lit(0.0))).first() for df, s in zip((la, lb), smallest[::-1])]
+    two = sum(x[1] for x in meetings) <= MEETINGS * sum(x[0] for x in meetings)
+
+    def signed(df: DataFrame, key: str, partners: int) -> DataFrame:
+        """A row for each one or two of a text's first trigrams: their hash, how many they are and the place of the last."""
+        each = df.select(key, *scope, "text", "_n", F.explode("_g").alias("_g")).join(often, "_g", "left")
+        token = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "_g", F.xxhash64("_g").alias("h"))
+        rows = each.groupBy(key, *scope, "text", "_n").agg(F.sort_array(F.collect_list(token)).alias("_t")).withColumn("_c", fewest(partners))
+        bits = F.aggregate("_t", F.lit(0).cast("long"), lambda x, y: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(y["h"], F.lit(64)).cast("int"))))
+        front = F.slice("_t", 1, F.least(F.col("_n"), F.greatest(F.col("_n") - F.col("_c") + (2 if two else 1), F.lit(0))))
+        mark = lambda h, i, m: F.struct(h.alias("h"), (i + 1).cast("int").alias("i"), F.lit(m).alias("m"))
+        ones = F.transform(front, lambda y, j: mark(y["h"], j, 1))
+        if two:
+            pairs = F.flatten(F.transform(front, lambda y, j: F.transform(F.slice(front, F.lit(1), j), lambda x: mark(F.xxhash64(x["h"], y["h"]), j, 2))))
+            ones = F.when(F.col("_c") < 2, F.concat(pairs, ones)).otherwise(pairs)
+        out = rows.select(key, *scope, "_n", bits.alias("bits"), F.explode(ones).alias("_s"))
+        return out.select(F.xxhash64(*scope, "_s.h", "_s.m").alias("_h"), key, F.col("_n").alias(f"n{key}"), F.col("bits").alias(f"bits{key}"), F.col("_s.i").alias(f"i{key}"), F.col("_s.m").alias(f"m{key}"))
+
+    c, both = share(F.col("na"), F.col("nb")), F.col("ma")
+    lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
+    fits = (both == F.col("mb")) & (F.col("ia") <= F.col("na") - c + both) & (F.col("ib") <= F.col("nb") - c + both)
+    if two:
+        fits = fits & ((both == 2) == (c >= 2))
+    fits = fits & (F.col("na") - lacks("bitsa", "bitsb") >= c) & (F.col("nb") - lacks("bitsb", "bitsa") >= c)
+    pairs = large(signed(la, "a", smallest[1])).join(signed(lb, "b", smallest[0]), "_h").filter(fits).select("a", "b").distinct()
+    texts = lambda df, key: large(df.select(key, *scope, F.col("text").alias(f"text_{key}")))
     return (
-        pairs.join(la, ["a", *scope]).join(lb, ["b", *scope]).withColumn("score", similarity_of(F.col("ga"), F.col("gb")))
+        large(pairs).join(texts(la, "a"), "a").join(texts(lb, "b"), ["b", *scope]).withColumn("score", similarity(F.col("text_a"), F.col("text_b")))
         .filter(F.col("score") > F.lit(least).cast("float")).select("a", "b", "score").distinct()
     )
 
@@ -58,14 +81,16 @@ def literal(text: Column) -> Column:
 def matching(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope: list[str], inside: Column) -> DataFrame:
     """Rows of ``asked`` and ``offered``, equal in ``scope``, of which ``inside`` holds: a match of pattern ``text`` in ``whole``.
 
-    Whatever a pattern matches holds its longest literal part, so patterns are found by an equi-join on the first three letters
-    of that part.  Only where there are patterns without three letters in a row are these compared with all of their scope.
+    Whatever a pattern matches holds its longest literal part, so patterns are found by an equi-join on the first six letters
+    of that part, three where it has less.  Only where there are patterns without three letters in a row are these compared with all of their scope.
     """
     asked = asked.withColumn("_lit", literal(F.col(text)))
-    known = F.length("_lit") >= 3
-    place = F.sequence(F.lit(1), F.greatest(F.length(whole) - 2, F.lit(1)))
-    parts = offered.select("*", F.explode(F.array_distinct(F.transform(place, lambda i: F.substr(F.lower(whole), i, F.lit(3))))).alias("_g"))
-    found = asked.filter(known).withColumn("_g", F.substring(F.lower("_lit"), 1, 3)).join(parts, [*scope, "_g"]).filter(inside).drop("_g", "_lit")
+    few, more = LETTERS
+    known = F.length("_lit") >= few
+    starts = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - (n - 1), F.lit(1))), lambda i: F.substr(F.lower(whole), i, F.lit(n)))
+    parts = offered.select("*", F.explode(F.array_distinct(F.concat(starts(few), starts(more)))).alias("_g"))
+    start = F.substring(F.lower("_lit"), 1, F.when(F.length("_lit") >= more, more).otherwise(few))
+    found = large(asked.filter(known).withColumn("_g", start)).join(parts, [*scope, "_g"]).filter(inside).drop("_g", "_lit")
     odd = asked.filter(~known).drop("_lit")
     if not odd.limit(1).count():
         return found
@@ -105,7 +130,7 @@ def resolve_names(names: DataFrame, places: DataFrame, least: float = NAME_LEAST
 def news_place(news: DataFrame, bridge: DataFrame) -> DataFrame:
     """News with one municipality each, the smallest of the bridge table's; NULL where it has none."""
     one = bridge.groupBy("id_noticia").agg(F.min("id_municipio").alias("id_municipio"))
-    return news.join(one, "id_noticia", "left")
+    return news.join(large(one), "id_noticia", "left")
 
 
 def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, units: DataFrame, bodies: DataFrame, least: float = LINK_LEAST) -> DataFrame:
@@ -128,7 +153,7 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
     places = small(asked.select("id_municipio").distinct())
     offered = stored(
         processes.join(modalities, "id_modalidade_licitacao")
-        .join(units, "id_unidade_gestora").join(bodies, "id_ente").join(places, "id_municipio", "left_semi")
+        .join(large(units), "id_unidade_gestora").join(bodies, "id_ente").join(places, "id_municipio", "left_semi")
         .select("id_processo_licitatorio", "numero_edital", "descricao", "id_municipio")
     )
     kinds = similar_pairs(
@@ -145,8 +170,8 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
     holds = containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio", F.lit(None).cast("float").alias("score"))
     pairs = near.unionByName(holds).groupBy("id_noticia", "id_processo_licitatorio").agg(F.max("score").alias("score"))
     scored = (
-        pairs.join(scoped.select("id_noticia", "asked", "descricao", "score_modalidade"), "id_noticia")
-        .join(offered, ["id_processo_licitatorio", "descricao"])
+        large(pairs).join(offered, "id_processo_licitatorio")
+        .join(large(scoped.select("id_noticia", "asked", "descricao", "score_modalidade")), ["id_noticia", "descricao"])
         .withColumn("score_edital", F.coalesce("score", similarity(F.col("numero_edital"), F.col("asked"))))
     )
     return scored.select(
@@ -165,9 +190,9 @@ def ranked(found: DataFrame, top: int | None = None) -> DataFrame:
 
 def details(found: DataFrame, processes: DataFrame, modalities: DataFrame, units: DataFrame, bodies: DataFrame, places: DataFrame) -> DataFrame:
     """What is known of the candidate processes: number, object, unit, body's municipality, modality."""
-    wanted = processes.join(found.select("id_processo_licitatorio").distinct(), "id_processo_licitatorio", "left_semi")
+    wanted = processes.join(large(found.select("id_processo_licitatorio").distinct()), "id_processo_licitatorio", "left_semi")
     return (
-        wanted.join(units, "id_unidade_gestora", "left").join(bodies, "id_ente", "left")
+        wanted.join(large(units), "id_unidade_gestora", "left").join(bodies, "id_ente", "left")
         .join(places, "id_municipio", "left").join(modalities, "id_modalidade_licitacao", "left")
     )
 
@@ -185,15 +210,15 @@ def disambiguate(info: DataFrame, objects: DataFrame, least: float = 0.2, margin
     news' ``objeto``, if it reaches ``least`` and leads by ``margin``; none without an object.
     A model's answer can be given in ``answer`` of ``objects``; it counts where it names a candidate.
     """
-    scored = info.join(objects, "id_noticia", "left").withColumn("score", similarity(F.col("objeto"), F.col("texto")).cast("double"))
+    scored = info.join(large(objects), "id_noticia", "left").withColumn("score", similarity(F.col("objeto"), F.col("texto")).cast("double"))
     pair = F.struct((-F.col("score")).alias("s"), F.col("id_processo_licitatorio").alias("id"))
     best = scored.groupBy("id_noticia").agg(
         F.min(pair).alias("first"), F.min("id_processo_licitatorio").alias("least_id"), F.max(missing(F.col("objeto"))).alias("no_object"),
         *([F.max("answer").alias("answer"), F.bool_or(F.col("id_processo_licitatorio") == F.col("answer")).alias("answered")] if "answer" in objects.columns else [F.lit(None).cast("bigint").alias("answer"), F.lit(False).alias("answered")]),
     )
     # The best of the others, for the lead.
-    second = scored.join(best.select("id_noticia", F.col("first.id").alias("_best")), "id_noticia").filter("id_processo_licitatorio <> _best").groupBy("id_noticia").agg(F.max("score").alias("next"))
-    best = best.join(second, "id_noticia", "left").join(duplicated(info), "id_noticia")
+    second = scored.join(large(best.select("id_noticia", F.col("first.id").alias("_best"))), "id_noticia").filter("id_processo_licitatorio <> _best").groupBy("id_noticia").agg(F.max("score").alias("next"))
+    best = best.join(large(second), "id_noticia", "left").join(large(duplicated(info)), "id_noticia")
     lead = -F.coalesce("next", F.lit(0.0)) - F.col("first.s")
     return best.select(
         "id_noticia",
@@ -211,7 +236,7 @@ def decide(news: DataFrame, found: DataFrame, chosen: DataFrame) -> DataFrame:
     """
     counts = found.groupBy("id_noticia").agg(F.count("*").alias("n"), F.min("id_processo_licitatorio").alias("only"))
     return (
-        news.select("id_noticia").join(counts, "id_noticia", "left").join(chosen, "id_noticia", "left")
+        news.select("id_noticia").join(large(counts), "id_noticia", "left").join(large(chosen), "id_noticia", "left")
         .select(
             "id_noticia",
             F.when(F.col("n") == 1, "linked").when(F.col("chosen").isNotNull(), "linked_via_llm").when(F.col("n") > 1, "ambiguous").otherwise("no_match").alias("status"),
@@ -224,4 +249,4 @@ def decide(news: DataFrame, found: DataFrame, chosen: DataFrame) -> DataFrame:
 def apply_links(news: DataFrame, links: DataFrame) -> DataFrame:
     """News with the process of a new link, the old one where there is none."""
     new = links.filter("id_processo_licitatorio is not null").select("id_noticia", F.col("id_processo_licitatorio").alias("_new"))
-    return news.join(new, "id_noticia", "left").withColumn("id_processo_licitatorio", F.coalesce("_new", "id_processo_licitatorio")).drop("_new")
+    return news.join(large(new), "id_noticia", "left").withColumn("id_processo_licitatorio", F.coalesce("_new", "id_processo_licitatorio")).drop("_new")

@@ -6,7 +6,7 @@ from garimpo.operators import linking as L
 from garimpo.plans.scalars import TRGM_SQL, sim_sql
 from garimpo.plans.tables import table
 from garimpo.registry import query
-from garimpo.sources.shared import stored
+from garimpo.sources.shared import large, stored
 
 # Tenders are orders; modality is the priority, unit the customer, body (nation, segment), place the nation.
 # News items are orders too, their tender number written in another way.
@@ -39,7 +39,7 @@ def standin(spark, sf_dir):
     mod = F.substring("o_orderpriority", 1, 1).cast("int")
     procs = orders.select(F.col("o_orderkey").alias("id_processo_licitatorio"), edital.alias("numero_edital"), mod.alias("id_modalidade_licitacao"), F.col("o_custkey").alias("id_unidade_gestora"))
     k = F.expr("(o_orderkey - 1) div 20")
-    news = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    news = orders.join(large(customer), F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id_noticia"),
         F.when(k % 37 == 0, "nan").when(k % 4 == 0, F.concat(F.lit("00"), edital)).when(k % 4 == 1, F.concat(F.lit("PL "), edital))
         .when(k % 4 == 2, F.expr("substring(concat_ws('/', o_orderkey, year(o_orderdate)), 2)")).otherwise(edital).alias("numero_edital"),
@@ -116,8 +116,8 @@ def info(spark, sf_dir):
     """(candidates with details, objects)"""
     news, procs, mods, units, bodies, places, texts = standin(spark, sf_dir)
     cands = stored(L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio"))
-    known = L.details(cands, procs, mods, units, bodies, places).join(texts, "id_unidade_gestora")
-    return cands.join(known, "id_processo_licitatorio"), news.select("id_noticia", "objeto")
+    known = L.details(cands, procs, mods, units, bodies, places).join(large(texts), "id_unidade_gestora")
+    return cands.join(large(known), "id_processo_licitatorio"), news.select("id_noticia", "objeto")
 
 
 @query("candidate_info", f"{CANDIDATES} SELECT DISTINCT id_processo_licitatorio, numero_edital, nome_municipio, descricao, id_unidade_gestora FROM found JOIN places USING (id_municipio)")

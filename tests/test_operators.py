@@ -1,10 +1,12 @@
 """Edge rows and invariants of the operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from garimpo.operators import cache, documents, filters, graph, keys, linking, models
-from garimpo.sources import articles, html, landing
+from garimpo.sources import articles, html, landing, shared
 from garimpo.sources.shared import shared_dir
 
 
@@ -66,6 +68,36 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got == {(r.a, r.b) for r in every.filter("s > 0.5").collect()}
 
 
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_similar_pairs_of_short_and_long_texts(spark):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("ab1 /") for _ in range(rnd.randint(0, n))) for n in (2, 5, 9, 40) for _ in range(25)]
+    a = spark.createDataFrame(list(enumerate(texts)), "a long, text string").withColumn("s", F.col("a") % 2)
+    b = a.withColumnRenamed("a", "b")
+    for least in (0.2, 0.4, 0.5, 0.8):
+        got = {(r.a, r.b) for r in linking.similar_pairs(a, b, least, ["s"]).collect()}
+        every = a.join(b.withColumnRenamed("text", "t2"), "s").withColumn("x", linking.similarity(F.col("text"), F.col("t2")))
+        assert got == {(r.a, r.b) for r in every.filter(F.col("x") > F.lit(least).cast("float")).collect()}
+
+
+def test_texts_without_a_partner_of_their_size(spark):
+    a = spark.createDataFrame([(1, "x")], "a long, text string")
+    b = spark.createDataFrame([(2, "a text that is a great deal longer than the other")], "b long, text string")
+    assert linking.similar_pairs(a, b, 0.5).count() == 0
+
+
+def test_only_counted_frames_are_broadcast(spark):
+    rows = shared.stored(spark.range(10))
+    assert broadcasts(rows.join(shared.small(shared.stored(spark.range(10)), 5), "id")) == 0
+    assert broadcasts(rows.join(shared.small(shared.stored(spark.range(10)), 10), "id")) == 1
+    texts = spark.createDataFrame([(1, "12/2020"), (2, "12/2021")], "a long, text string")
+    # The counts of trigrams, once for either side; neither texts nor pairs.
+    assert broadcasts(linking.similar_pairs(texts, texts.withColumnRenamed("a", "b"), 0.5)) == 2
+
+
 def test_resolve_tiers(spark):
     places = spark.createDataFrame([(1, "Balneário Rincão"), (2, "Joinville"), (3, "Rincão Velho")], "id long, place string")
     names = spark.createDataFrame([("joinville",), ("Rincão",), ("Joinvile",), ("Nowhere",), (" ",), (None,)], "name string")
