@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from garimpo.operators import keys
+from garimpo.streaming import keys as stream_keys
 from garimpo.streaming import records, stages
 
 
@@ -156,3 +157,20 @@ def test_a_message_delivered_again_is_published_once(spark, tmp_path):
     assert sorted(r.id for r in got["published"]) == ["1", "2", "3", "no name", "no name"]
     lines(tmp_path / "in", "3", [same])
     assert len(stage_run(spark, tmp_path, stages.Stage(lambda df: df))["published"]) == 5
+
+
+def test_children_wait_for_the_first_parent_without_python_state(spark, tmp_path):
+    schema = "row_id string, fk string, is_parent boolean, body string"
+    batches = [
+        [("a", "1", False, "x"), ("b", "2", False, "y"), ("n", None, False, "z")],
+        [("p", "1", True, "first"), ("m", None, True, "none")],
+        [("q", "1", True, "second"), ("c", "1", False, "w"), ("d", "3", False, "v")],
+    ]
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in batches:  # a run each, with the same checkpoint
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        assert "Pandas" not in stream_keys.resolve(stream)._jdf.queryExecution().analyzed().toString()
+        stream_keys.run(stream, out, str(tmp_path / "at"))
+    got = sorted((r.child_id, r.fk, r.child, r.parent) for r in spark.read.schema(stream_keys.OUT).parquet(out).collect())
+    assert got == [("a", "1", "x", "first"), ("c", "1", "w", "first")]
