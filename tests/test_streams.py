@@ -174,3 +174,11 @@ def test_children_wait_for_the_first_parent_without_python_state(spark, tmp_path
         stream_keys.run(stream, out, str(tmp_path / "at"))
     got = sorted((r.child_id, r.fk, r.child, r.parent) for r in spark.read.schema(stream_keys.OUT).parquet(out).collect())
     assert got == [("a", "1", "x", "first"), ("c", "1", "w", "first")]
+
+
+def test_a_file_written_by_one_task_is_computed_by_all(spark):
+    from garimpo.plans import flow
+
+    assert "Coalesce" not in flow.one_file(spark.range(10).groupBy("id").count())._jdf.queryExecution().executedPlan().toString()
+    assert flow.one_file(spark.range(10)).rdd.getNumPartitions() == 1
+    assert not [f for f in (flow.stream_once, flow.stream_cache) if "coalesce" in f.__code__.co_names]
