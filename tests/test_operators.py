@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from garimpo.operators import cache, documents, filters, graph, keys, linking, models
+from garimpo.operators import cache, documents, filters, graph, keys, linking, models, pipeline
 from garimpo.sources import articles, html, landing, shared
 from garimpo.sources.shared import shared_dir
 
@@ -264,3 +264,13 @@ def test_a_message_that_breaks_the_stage_goes_to_the_dead_letters(spark, tmp_pat
     assert sorted(r.x for r in out("published").collect()) == [2, 8]
     failed = out("failed").collect()
     assert len(failed) == 1 and all("broken row" in r.error and r.error_type and r.stack_trace for r in failed)
+
+
+def test_news_rows_broadcast_only_the_modalities(spark):
+    row = "raw_data_id string, municipio struct<nome_municipio:string>, noticia struct<numero_edital:string,objeto:string,nome_portal:string>, modalidade_licitacao struct<descricao:string>"
+    records = spark.createDataFrame([("1", ("A",), ("1/2023", "o", "p"), ("CONVITE",))], row)
+    resolved = shared.stored(spark.createDataFrame([("A", 7)], "name string, id_municipio long"))
+    kinds = spark.createDataFrame([(1, "CONVITE")], "id_modalidade_licitacao int, descricao string")
+    got = pipeline.news_of(records, "raw_data_id", resolved, kinds)
+    assert broadcasts(got) == 1
+    assert [(r.id_noticia, r.id_municipio, r.id_modalidade_licitacao) for r in got.collect()] == [("1", 7, 1)]
