@@ -162,12 +162,13 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
     ).select(F.col("a").alias("asked_modality"), F.col("b").alias("descricao"), F.col("score").alias("score_modalidade"))
     kinds = kinds.unionByName(offered.select(F.lit("").alias("asked_modality"), "descricao", F.lit(0.0).cast("float").alias("score_modalidade")).distinct())
     scoped = stored(asked.join(small(stored(kinds)), "asked_modality"))
-    near = similar_pairs(
+    # Kept one by one: as one plan, the driver holds all of their stages and broadcasts at a time.
+    near = stored(similar_pairs(
         scoped.select(F.col("id_noticia").alias("a"), "id_municipio", "descricao", F.col("asked").alias("text")),
         offered.select(F.col("id_processo_licitatorio").alias("b"), "id_municipio", "descricao", F.col("numero_edital").alias("text")),
         least, ["id_municipio", "descricao"],
-    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio"), "score")
-    holds = containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio", F.lit(None).cast("float").alias("score"))
+    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio"), "score"))
+    holds = stored(containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio", F.lit(None).cast("float").alias("score")))
     pairs = near.unionByName(holds).groupBy("id_noticia", "id_processo_licitatorio").agg(F.max("score").alias("score"))
     scored = (
         large(pairs).join(offered, "id_processo_licitatorio")
