@@ -16,10 +16,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,10 @@ FIT_LABELS = 200
 FIT_WORDS = 400
 #: Letters of one labelled row that are learned from; a longer text gives a piece of this length. With FIT_ROWS this bounds what reaches the driver.
 FIT_CHARS = 20_000
+#: Words of chains, with what pads them, whose marginals are held at a time.
+CELLS = 200_000
+#: Texts, and bytes of them, that a task labels at a time.
+STEP_ROWS, STEP_BYTES = 2_000, 8_000_000
 UND = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -113,7 +119,7 @@ class ChainModel:
             m = live[t + 1]
             x = (e[t + 1, :m] * beta[t + 1, :m]) @ at
             beta[t, :m] = x / x.sum(1, keepdims=True)
-        gamma = alpha * beta
+        gamma = np.multiply(alpha, beta, out=None if pairs else beta)
         out: list = [None] * n
         for j, i in enumerate(order):
             g = gamma[: lengths[j], j]
@@ -205,40 +211,92 @@ def sample(docs: DataFrame, fit_rows: int, label: str = "lang", text: str = "tex
     return [(r["t"], r["lab"]) for r in got.filter(F.col("k") <= fit_rows).select("t", "lab").collect()]
 
 
+class _Numbers(dict):
+    """Word to its number, in the order in which words are met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Tagger:
     """Applies a model to texts, keeping the scores of words it has met (a bounded number)."""
 
-    def __init__(self, model: ChainModel, keep: int = 200_000):
+    def __init__(self, model: ChainModel, keep: int = 100_000):
         self.model, self.keep = model, keep
-        self.row: dict[str, int] = {}
-        self.table = np.empty((0, len(model.labels)))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row, self.table = _Numbers(), np.empty((0, len(self.model.labels)))
 
-    def _rows(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def _numbers(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Numbers of every text's words; the words of one text at a time are held as strings."""
         if len(self.row) > self.keep:
-            self.row, self.table = {}, self.table[:0]
-        new = list(dict.fromkeys(w for t in texts for w in t if w not in self.row))
+            self._forget()
+        row = self.row
+        numbers = [np.fromiter(map(row.__getitem__, w), np.int32, len(w)) for w in map(words_of, texts)]
+        new = list(islice(row, len(self.table), None))
         if new:
-            for w in new:
-                self.row[w] = len(self.row)
-            scored = [self.model.scores(new[s : s + 4096]) for s in range(0, len(new), 4096)]
-            self.table = np.concatenate([self.table, *scored])
-        row, table = self.row, self.table
-        return [table[[row[w] for w in t]] for t in texts]
-
-    def tag(self, texts: list[str | None], cells: int = 600_000) -> list[np.ndarray | None]:
-        """Marginals of every text's words; None for a text without letters."""
-        words = [words_of(t) for t in texts]
-        order = sorted((i for i, w in enumerate(words) if w), key=lambda i: len(words[i]))
-        out: list = [None] * len(texts)
+            self.table = np.concatenate([self.table, *[self.model.scores(new[s : s + 4096]) for s in range(0, len(new), 4096)]])
+        return numbers
+
+    def tag(self, texts: Iterable[str | None], cells: int = CELLS, of: Callable = lambda m: m) -> list:
+        """``of(marginals)`` of every text's words; None for a text without letters."""
+        words = self._numbers(texts)
+        order = sorted((i for i, w in enumerate(words) if len(w)), key=lambda i: len(words[i]))
+        out: list = [None] * len(words)
         while order:
             # From the longest: chains of like length share a batch of a bounded size.
             n = max(1, cells // max(1, len(words[order[-1]])))
             part, order = order[-n:], order[:-n]
-            for i, m in zip(part, self.model.marginals(self._rows([words[i] for i in part]))):
-                out[i] = m
+            for i, m in zip(part, self.model.marginals([self.table[words[i]] for i in part])):
+                out[i] = of(m)
         return out
 
 
+def steps(lengths: np.ndarray, rows: int = STEP_ROWS, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, number) of runs of at most ``rows`` rows and of ``most`` in all; a longer row is a run of its own."""
+    start, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and (i - start >= rows or held + n > most):
+            yield start, i - start
+            start, held = i, 0
+        held += n
+    if len(lengths) > start:
+        yield start, len(lengths) - start
+
+
+def _verdict(labels: list[str]) -> Callable:
+    """A document's columns from its words' marginals."""
+
+    def of(m: np.ndarray) -> tuple[str, float, float, int]:
+        mean, best = m.mean(0), m.argmax(1)
+        i = int(mean.argmax())
+        return labels[i], float(min(1.0, max(0.0, mean[i]))), float(min(1.0, m.max(1).mean())), int((best[1:] != best[:-1]).sum())
+
+    return of
+
+
+def labelled(batches: Iterator[pa.RecordBatch], model: ChainModel) -> Iterator[pa.RecordBatch]:
+    """The batches with the verdicts in place of the texts, which are their last column."""
+    tagger, of = Tagger(model), _verdict(model.labels)
+    for batch in batches:
+        last = batch.num_columns - 1
+        for s, n in steps(pc.fill_null(pc.binary_length(batch.column(last)), 0).to_numpy(zero_copy_only=False)):
+            part = batch.slice(s, n)
+            found = tagger.tag((x.as_py() for x in part.column(last)), of=of) if model.labels else [None] * n
+            cols = zip(*[(UND, 0.0, 0.0, 0) if x is None else x for x in found])
+            got = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns[:last], *got], [*batch.schema.names[:last], "lang_pred", "score", "certainty", "n_switches"])
+        batch = part = None  # before the next one comes, not after
+        trim()
+    # Workers live on after the task; what they remember of its words would stay with them.
+    for names in (_HEAD, _TAIL, _GRAM, _SHAPE):
+        names.clear()
+    del tagger
+    trim()
+
+
 def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
     """``doc_id, lang_pred, score, certainty, n_switches`` for every row, and the columns named in ``keep``.
 
@@ -249,32 +307,12 @@ def identify(docs: DataFrame, model: ChainModel, doc_id: str = "doc_id", text: s
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tagger = Tagger(sent.value)
-        labels = sent.value.labels
-        for pdf in batches:
-            for s in range(0, len(pdf), 2000):
-                part = pdf.iloc[s : s + 2000]
-                out = []
-                for m in tagger.tag(list(part["_text"])) if labels else [None] * len(part):
-                    if m is None:
-                        out.append((UND, 0.0, 0.0, 0))
-                        continue
-                    mean, best = m.mean(0), m.argmax(1)
-                    i = int(mean.argmax())
-                    out.append((labels[i], float(min(1.0, max(0.0, mean[i]))), float(min(1.0, m.max(1).mean())), int((best[1:] != best[:-1]).sum())))
-                got = pd.DataFrame(out, columns=["lang_pred", "score", "certainty", "n_switches"], index=part.index)
-                yield pd.concat([part.drop(columns="_text"), got], axis=1)
-            trim()
-        # Workers live on after the task; what they remember of its words would stay with them.
-        for names in (_HEAD, _TAIL, _GRAM, _SHAPE):
-            names.clear()
-        del tagger
-        trim()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from labelled(batches, sent.value)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).cast("string").alias("_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return rows.mapInPandas(run, f"{types}, lang_pred string, score double, certainty double, n_switches long")
+    return rows.mapInArrow(run, f"{types}, lang_pred string, score double, certainty double, n_switches long")
 
 
 def held_out(doc_id) -> F.Column:

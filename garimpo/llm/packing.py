@@ -13,7 +13,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm.common import stored
+from garimpo.llm.words import trim
 
 CAPACITY = 1024
 END_ID = 2
@@ -52,12 +53,12 @@ def byte_bpe(name: str = "byte_bpe_50k"):
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    exact = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+    exact = lru_cache(1)(lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))  # large, and few tables need it
     unusual = re.compile(r"[^\t\n\r\x20-\x7e¡-ɏ]")
 
     def encode(text: str) -> list[int]:
         if unusual.search(text) or "<|endoftext|>" in text:
-            return exact.encode(text, add_special_tokens=False).ids
+            return exact().encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return encode
@@ -89,6 +90,11 @@ def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = EN
             if with_ids:
                 arrays.append(pa.array([list(x) for x in cols[5]], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
+            batch = text = None  # before the next one comes, not after
+            trim()
+        # Workers live on after the task; the vocabulary would stay with them.
+        del encode
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"{PIECES}, ids array<int>" if with_ids else PIECES)
 

@@ -164,6 +164,22 @@ def test_fast_ids_equal_the_tokenizer():
         assert list(fast(t)) == encode(t)[:-1]
 
 
+def test_usual_texts_do_not_load_the_tokenizer_file(monkeypatch):
+    import tokenizers
+
+    class Unread:
+        @staticmethod
+        def from_file(path):
+            raise AssertionError("read for usual texts")
+
+    want = tokenizer().encode("Usual text: é, 12.", add_special_tokens=False).ids
+    monkeypatch.setattr(tokenizers, "Tokenizer", Unread)
+    ids = packing.byte_bpe()
+    assert ids("Usual text: é, 12.") == want
+    with pytest.raises(AssertionError, match="read for usual"):
+        ids("\u6f22")
+
+
 def test_sum_of_squares_rule():
     lengths = np.array([600, 424, 600, 300, 124, 1024, 1])
     bins, offsets = packing.sum_of_squares(lengths, 1024)
@@ -545,6 +561,42 @@ def test_forward_backward_equals_enumeration():
         assert np.allclose(m, total / total.sum(1, keepdims=True))
 
 
+def test_tagging_holds_one_text_of_words_at_a_time():
+    import tracemalloc
+
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(500)]
+    texts = [" ".join(rnd.choices(words, k=400)) for _ in range(2000)]
+    model = langid.ChainModel(["a", "b", "c", "d"], {})
+    tracemalloc.start()
+    try:
+        found = langid.Tagger(model).tag(texts)
+        most = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert [len(m) for m in found] == [400] * 2000
+    assert most < 100  # the marginals returned are 26 MB
+
+
+def test_labels_do_not_depend_on_steps(monkeypatch):
+    import pyarrow as pa
+
+    model = langid.train([("el gato negro come pescado fresco", "es"), ("the black cat eats fresh fish", "en")] * 5)
+    texts = [None, "", "the cat", "el gato " * 50, "1 2 3", "fresh fish", "pescado fresco y the cat"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "_text"])
+    label = lambda batches: [r for b in langid.labelled(iter(batches), model) for r in b.to_pylist()]
+    whole = label([batch.slice(0, 0), batch])
+    assert [r["doc_id"] for r in whole] == list(range(len(texts))) and {r["lang_pred"] for r in whole} == {"und", "en", "es"}
+    steps = langid.steps
+    for rows, most in ((1, 10), (4, 30), (100, 100)):
+        runs = list(steps(np.array([len(t or "") for t in texts]), rows, most))
+        assert [i for s, n in runs for i in range(s, s + n)] == list(range(len(texts)))
+        assert all(n <= rows and (n == 1 or sum(len(t or "") for t in texts[s : s + n]) <= most) for s, n in runs)
+        monkeypatch.setattr(langid, "steps", lambda lengths, rows=rows, most=most: steps(lengths, rows, most))
+        for a, b in zip(label([batch.slice(0, 9), batch.slice(9)]), whole, strict=True):
+            assert (a["doc_id"], a["lang_pred"], a["n_switches"]) == (b["doc_id"], b["lang_pred"], b["n_switches"]) and abs(a["score"] - b["score"]) < 1e-9
+
+
 def test_language_edges(edge):
     got = langid.language_id(edge).toPandas()
     assert len(got) == edge.count() and set(got[got.doc_id.isin([1, 2, 3])].lang_pred) == {"und"}
