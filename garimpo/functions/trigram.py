@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What stands between words.
+SEPARATORS = r"[^\p{L}\p{N}]+"
+
 
 def trigrams(s: Column) -> Column:
     """Distinct three-letter parts of a text's words, each padded by two blanks and one."""
-    words = F.filter(F.split(F.lower(F.coalesce(s, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(F.coalesce(s, F.lit(""))), SEPARATORS), lambda w: w != "")
     return F.array_distinct(
         F.flatten(
             F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substr(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))))

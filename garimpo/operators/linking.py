@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from garimpo.functions.text import missing
 from garimpo.functions.trigram import similarity, trigrams
-from garimpo.sources.shared import large, small, stored
+from garimpo.operators import numbers
+from garimpo.sources.shared import free, large, small, stored
 
 #: Similarity that a name has to pass, and that tender numbers and modalities have to pass.
 NAME_LEAST, LINK_LEAST = 0.4, 0.5
 #: Meetings by two trigrams that a text may have on the average; beyond, texts meet by one.
 MEETINGS = 40
-#: First letters of a pattern's literal part by which it is found; the second where the part is that long.
-LETTERS = (3, 6)
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, scope: list[str] | None = None) -> DataFrame:
@@ -85,7 +84,7 @@ def matching(asked: DataFrame, offered: DataFrame, text: str, whole: str, scope:
     of that part, three where it has less.  Only where there are patterns without three letters in a row are these compared with all of their scope.
     """
     asked = asked.withColumn("_lit", literal(F.col(text)))
-    few, more = LETTERS
+    few, more = numbers.LETTERS
     known = F.length("_lit") >= few
     starts = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - (n - 1), F.lit(1))), lambda i: F.substr(F.lower(whole), i, F.lit(n)))
     parts = offered.select("*", F.explode(F.array_distinct(F.concat(starts(few), starts(more)))).alias("_g"))
@@ -140,9 +139,8 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
     the tender number must be similar or contain the news' one, and so must the modality where
     the news has one.  News without municipality or number have no candidates.
 
-    Modalities are compared as distinct pairs.  Similar numbers come from an index on rare
-    trigrams, containing ones from one three-letter part each; only numbers that are too
-    short or hold wildcards are compared with all of their municipality.
+    Modalities are compared as distinct pairs, numbers within tasks (:mod:`garimpo.operators.numbers`); only numbers that
+    are too short or hold wildcards are matched by a join.  Ids of news and of processes are unique.
     """
     asked = (
         news.filter(F.col("id_municipio").isNotNull() & ~missing(F.col("numero_edital")))
@@ -161,21 +159,17 @@ def candidates(news: DataFrame, processes: DataFrame, modalities: DataFrame, uni
         offered.select(F.col("descricao").alias("b"), F.col("descricao").alias("text")).distinct(), least,
     ).select(F.col("a").alias("asked_modality"), F.col("b").alias("descricao"), F.col("score").alias("score_modalidade"))
     kinds = kinds.unionByName(offered.select(F.lit("").alias("asked_modality"), "descricao", F.lit(0.0).cast("float").alias("score_modalidade")).distinct())
-    scoped = stored(asked.join(small(stored(kinds)), "asked_modality"))
-    # Kept one by one: as one plan, the driver holds all of their stages and broadcasts at a time.
-    near = stored(similar_pairs(
-        scoped.select(F.col("id_noticia").alias("a"), "id_municipio", "descricao", F.col("asked").alias("text")),
-        offered.select(F.col("id_processo_licitatorio").alias("b"), "id_municipio", "descricao", F.col("numero_edital").alias("text")),
-        least, ["id_municipio", "descricao"],
-    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio"), "score"))
-    holds = stored(containing(scoped, offered, "asked", "numero_edital", ["id_municipio", "descricao"]).select("id_noticia", "id_processo_licitatorio", F.lit(None).cast("float").alias("score")))
-    pairs = near.unionByName(holds).groupBy("id_noticia", "id_processo_licitatorio").agg(F.max("score").alias("score"))
-    scored = (
-        large(pairs).join(offered, "id_processo_licitatorio")
-        .join(large(scoped.select("id_noticia", "asked", "descricao", "score_modalidade")), ["id_noticia", "descricao"])
-        .withColumn("score_edital", F.coalesce("score", similarity(F.col("numero_edital"), F.col("asked"))))
-    )
-    return scored.select(
+    scoped = free(asked).join(small(stored(kinds)), "asked_modality")
+    scope = ["id_municipio", "descricao"]
+    found = numbers.near_or_containing(
+        scoped.select(F.col("id_noticia").alias("a"), *scope, F.col("asked").alias("text"), F.col("score_modalidade").alias("kind")),
+        offered.select(F.col("id_processo_licitatorio").alias("b"), *scope, F.col("numero_edital").alias("text")), least, scope,
+    ).select(F.col("a").alias("id_noticia"), F.col("b").alias("id_processo_licitatorio"), F.col("text_b").alias("numero_edital"), F.col("kind").alias("score_modalidade"), F.col("score").alias("score_edital"))
+    odd = scoped.filter(~numbers.plain(F.col("asked")))
+    if asked.filter(~numbers.plain(F.col("asked"))).limit(1).count():
+        held = containing(odd, offered, "asked", "numero_edital", scope).withColumn("score_edital", similarity(F.col("numero_edital"), F.col("asked")))
+        found = found.unionByName(held.select(*found.columns)).dropDuplicates(["id_noticia", "id_processo_licitatorio"])
+    return found.select(
         "id_noticia", "id_processo_licitatorio", "numero_edital",
         F.col("score_edital").cast("double").alias("score_edital"), F.col("score_modalidade").cast("double").alias("score_modalidade"),
         ((F.col("score_edital").cast("double") + F.col("score_modalidade").cast("double")) / 2).alias("score_total"),
@@ -198,10 +192,15 @@ def details(found: DataFrame, processes: DataFrame, modalities: DataFrame, units
     )
 
 
+def _duplicates() -> Column:
+    """Whether all of several rows share number, municipality and modality, as an aggregate that keeps two of them."""
+    same = F.struct(*[F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in ("numero_edital", "nome_municipio", "descricao")])
+    return (F.count("*") > 1) & (F.min(same) == F.max(same))
+
+
 def duplicated(info: DataFrame) -> DataFrame:
     """``id_noticia, n, duplicates``: whether all of several candidates share number, municipality and modality."""
-    same = F.struct(*[F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in ("numero_edital", "nome_municipio", "descricao")])
-    return info.groupBy("id_noticia").agg(F.count("*").alias("n"), ((F.count("*") > 1) & (F.count_distinct(same) == 1)).alias("duplicates"))
+    return info.groupBy("id_noticia").agg(F.count("*").alias("n"), _duplicates().alias("duplicates"))
 
 
 def disambiguate(info: DataFrame, objects: DataFrame, least: float = 0.2, margin: float = 0.05) -> DataFrame:
@@ -213,13 +212,14 @@ def disambiguate(info: DataFrame, objects: DataFrame, least: float = 0.2, margin
     """
     scored = info.join(large(objects), "id_noticia", "left").withColumn("score", similarity(F.col("objeto"), F.col("texto")).cast("double"))
     pair = F.struct((-F.col("score")).alias("s"), F.col("id_processo_licitatorio").alias("id"))
+    # The best of a news item's candidates stands beside each, so that one pass, dealt once, also finds the best of the others.
+    order = Window.partitionBy("id_noticia").orderBy(pair).rowsBetween(Window.unboundedPreceding, 0)
+    scored = scored.withColumn("_best", F.first(pair).over(order))
     best = scored.groupBy("id_noticia").agg(
-        F.min(pair).alias("first"), F.min("id_processo_licitatorio").alias("least_id"), F.max(missing(F.col("objeto"))).alias("no_object"),
+        F.min("_best").alias("first"), F.min("id_processo_licitatorio").alias("least_id"), F.max(missing(F.col("objeto"))).alias("no_object"),
+        F.max(F.when(F.col("id_processo_licitatorio") != F.col("_best.id"), F.col("score"))).alias("next"), _duplicates().alias("duplicates"),
         *([F.max("answer").alias("answer"), F.bool_or(F.col("id_processo_licitatorio") == F.col("answer")).alias("answered")] if "answer" in objects.columns else [F.lit(None).cast("bigint").alias("answer"), F.lit(False).alias("answered")]),
     )
-    # The best of the others, for the lead.
-    second = scored.join(large(best.select("id_noticia", F.col("first.id").alias("_best"))), "id_noticia").filter("id_processo_licitatorio <> _best").groupBy("id_noticia").agg(F.max("score").alias("next"))
-    best = best.join(large(second), "id_noticia", "left").join(large(duplicated(info)), "id_noticia")
     lead = -F.coalesce("next", F.lit(0.0)) - F.col("first.s")
     return best.select(
         "id_noticia",

@@ -6,7 +6,7 @@ from garimpo.operators import linking as L
 from garimpo.plans.scalars import TRGM_SQL, sim_sql
 from garimpo.plans.tables import table
 from garimpo.registry import query
-from garimpo.sources.shared import large, stored
+from garimpo.sources.shared import free, large, stored
 
 # Tenders are orders; modality is the priority, unit the customer, body (nation, segment), place the nation.
 # News items are orders too, their tender number written in another way.
@@ -115,9 +115,10 @@ def resolve_name(spark, sf_dir):
 def info(spark, sf_dir):
     """(candidates with details, objects)"""
     news, procs, mods, units, bodies, places, texts = standin(spark, sf_dir)
-    cands = stored(L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio"))
+    cands = free(stored(L.candidates(news, procs, mods, units, bodies).select("id_noticia", "id_processo_licitatorio")))
     known = L.details(cands, procs, mods, units, bodies, places).join(large(texts), "id_unidade_gestora")
-    return cands.join(large(known), "id_processo_licitatorio"), news.select("id_noticia", "objeto")
+    known = free(stored(known.select("id_processo_licitatorio", "numero_edital", "nome_municipio", "descricao", "texto")))
+    return large(cands).join(known, "id_processo_licitatorio"), news.select("id_noticia", "objeto")
 
 
 @query("candidate_info", f"{CANDIDATES} SELECT DISTINCT id_processo_licitatorio, numero_edital, nome_municipio, descricao, id_unidade_gestora FROM found JOIN places USING (id_municipio)")
